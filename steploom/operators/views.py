@@ -40,10 +40,10 @@ def latest_issue(df: DataFrame) -> DataFrame:
     return df.where(F.col("issue_time") == df.agg(F.max("issue_time")).scalar())
 
 
-def to_records(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """One JSON text per row: ISO-8601 times, NaN as null."""
+def to_records(df: DataFrame, columns: Sequence[str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """One JSON text per row: ISO-8601 times, NaN as null; ``extra`` columns stand beside it."""
     fields = []
-    for f in df.schema.fields:
+    for f in (df if columns is None else df.select(*columns)).schema.fields:
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
             fields.append(iso(f.name).alias(f.name))
         elif isinstance(f.dataType, (DoubleType, FloatType)):
@@ -116,7 +116,7 @@ def serve_forecast(forecasts: DataFrame, key: str, region: str | None = None) ->
     rows = filter_region(forecasts.where(F.col("window") == known.key), region)
     run = latest_issue(rows)
     count = run.agg(F.count(F.lit(1)))
-    body = to_records(run.select(*KEYS, "issue_time", "target_time", "yhat"), extra=["window", "issue_time"])
+    body = to_records(run, [*KEYS, "issue_time", "target_time", "yhat"], extra=["window", "issue_time"])
     return body.select(
         "window", F.lit(known.resolution).alias("resolution"), "issue_time", count.scalar().alias("count"), "record"
     )
@@ -126,7 +126,7 @@ def serve_metrics(metrics: DataFrame, key: str) -> DataFrame:
     """Per-series backtest metrics of a window, as records."""
     known = window(key)
     rows = metrics.where(F.col("window") == known.key)
-    return to_records(rows.drop("window"), extra=["window"])
+    return to_records(rows, [c for c in metrics.columns if c != "window"], extra=["window"])
 
 
 def _chart(df: DataFrame, time: str, value: str, kind: str) -> DataFrame:

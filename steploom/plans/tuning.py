@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ..operators.evaluate import best_combo, combo_scores, join_actual_forecast
 from ..operators.gridding import regular_grid
 from ..operators.splits import eligible_series, split_holdout_calendar, trim_train
 from ..schemas import HYPERPARAMETERS, KEYS, MAX_TRAIN_STEPS, TREE_GRID, ForecastWindow, ModelConfig
-from ..session import materialize
+from ..session import materialize, side_by_side
 
 PARAMETERS = HYPERPARAMETERS.fieldNames()
 
@@ -81,13 +82,14 @@ def grid_search(
     keys = list(keys)
     train, held = tuning_split(df, window, keys, max_train_steps)
     train, held = materialize(train, "train"), materialize(held, "held")
-    results = None
-    for combo in grid_combos(grid):
+
+    def run(combo: dict) -> DataFrame:
         config = ModelConfig.of(window.resolution, **combo)
         steps, _ = forecast_filled(train, window.horizon, config, learner, keys)
         scores = score_combo(steps, held, window.horizon, keys)
-        named = scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()])
-        results = named if results is None else results.unionByName(named)
+        return scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()])
+
+    results = reduce(DataFrame.unionByName, side_by_side(partial(run, combo) for combo in grid_combos(grid)))
     return combo_scores(results, ["combo_id", *PARAMETERS]).select(
         F.lit(window.key).alias("window"), "combo_id", *PARAMETERS, "mape", "n_series"
     )

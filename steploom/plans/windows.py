@@ -3,24 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..learners.base import Learner
-from ..schemas import KEYS, TEST_FRACTION, ForecastWindow, ModelConfig, window
-from ..session import materialize
+from ..schemas import TEST_FRACTION, WINDOWS, ForecastWindow, ModelConfig, window
+from ..session import materialize, side_by_side
 from ..sources.tables import read_best_params, write_best_params, write_table
 from .backtesting import backtest_report
 from .forecasting import forecast_grouped
-from .tuning import PARAMETERS, best_params, grid_search
+from .tuning import best_params, grid_search
 
 
 def resolve_windows(keys: Sequence[str] | None = None) -> list[ForecastWindow]:
     """Windows by key, all of them by default; an unknown key is an error."""
-    from ..schemas import WINDOWS
-
     return [window(k) for k in keys] if keys else list(WINDOWS.values())
 
 
@@ -63,10 +61,12 @@ def run_windows(
     ``tables`` maps a resolution to its actuals.  Returns ``forecast``,
     ``backtest_forecast``, ``metrics`` and ``overall``, each with a ``window`` column.
     """
-    parts: dict[str, list[DataFrame]] = {"forecast": [], "backtest_forecast": [], "metrics": [], "overall": []}
-    for target in resolve_windows(windows):
+    targets = resolve_windows(windows)
+    for target in targets:
         if target.resolution not in tables:
             raise FileNotFoundError(f"no {target.resolution} actuals; run ingestion first")
+
+    def run(target: ForecastWindow) -> dict[str, DataFrame]:
         actual = tables[target.resolution]
         config = config_for(actual.sparkSession, params_path, target)
         if config is None and tune_if_missing and params_path is not None:
@@ -76,16 +76,18 @@ def run_windows(
             config = configure(target) if configure else ModelConfig.of(target.resolution)
         ahead = forecast_grouped(actual, target.horizon, config, learner)
         report = backtest_report(actual, target.horizon, config, learner, fraction)
-        for name, df in (
-            ("forecast", ahead),
-            ("backtest_forecast", report.forecast),
-            ("metrics", report.by_series),
-            ("overall", report.overall),
-        ):
-            parts[name].append(df.withColumn("window", F.lit(target.key)))
+        found = {
+            "forecast": ahead,
+            "backtest_forecast": report.forecast,
+            "metrics": report.by_series,
+            "overall": report.overall,
+        }
+        return {name: df.withColumn("window", F.lit(target.key)) for name, df in found.items()}
+
+    done = side_by_side(partial(run, target) for target in targets)
     return {
-        name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-        for name, frames in parts.items()
+        name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [d[name] for d in done])
+        for name in done[0]
     }
 
 
@@ -94,5 +96,3 @@ def write_windows(results: dict[str, DataFrame], root: str) -> None:
     for name, df in results.items():
         write_table(df, f"{root}/{name}", ["window"])
 
-
-__all__ = ["KEYS", "PARAMETERS", "config_for", "resolve_windows", "run_windows", "tune_windows", "write_windows"]

@@ -76,9 +76,13 @@ def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def actuals(spark: SparkSession, sf_dir: str, resolution: str = "hourly") -> DataFrame:
-    """The stored actuals table that later steps start from, built from the readings."""
+    """The stored actuals table that later steps start from, built from the readings.
+
+    Totals are kept in cents, so engines that add in another order store the same.
+    """
     build = hourly_actuals if resolution == "hourly" else daily_actuals
-    return materialize(build(spark, sf_dir), f"actuals-{resolution}")
+    totals = build(spark, sf_dir).withColumn("value", F.round("value", 2))
+    return materialize(totals, f"actuals-{resolution}")
 
 
 def forecasts(spark: SparkSession, sf_dir: str, resolution: str = "hourly") -> DataFrame:

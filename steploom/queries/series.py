@@ -35,7 +35,7 @@ def regular_grid(spark, sf_dir):
     return gridding.regular_grid(actuals(spark, sf_dir))
 
 
-@query(with_views("SELECT * FROM dgrid", "dgrid"), ["period"], ["value"], digits=2)
+@query(with_views("SELECT * FROM dgrid", "dgrid"), ["period"], ["value"], digits=6)
 def regular_grid_daily(spark, sf_dir):
     return gridding.regular_grid(actuals(spark, sf_dir, "daily"), resolution="daily")
 
@@ -45,7 +45,7 @@ def fill_gaps(spark, sf_dir):
     return gridding.fill_gaps(gridding.regular_grid(actuals(spark, sf_dir)))
 
 
-@query(with_views("SELECT * FROM dfilled", "dfilled"), ["period"], ["value"], digits=2)
+@query(with_views("SELECT * FROM dfilled", "dfilled"), ["period"], ["value"], digits=6)
 def fill_gaps_daily(spark, sf_dir):
     return _filled(spark, sf_dir, "daily")
 
@@ -75,7 +75,7 @@ def lag_features(spark, sf_dir):
     with_views(f"SELECT region, series, period, value, {', '.join(_LAG['daily'])} FROM dlook", "dlook"),
     ["period"],
     ["value", *_LAG["daily"]],
-    digits=2,
+    digits=6,
 )
 def lag_features_daily(spark, sf_dir):
     return features.lag_features(_filled(spark, sf_dir, "daily"), DAILY_LAGS, resolution="daily")
@@ -85,6 +85,7 @@ def lag_features_daily(spark, sf_dir):
     with_views(f"SELECT region, series, period, value, {', '.join(_ROLL['hourly'])} FROM hlook", "hlook"),
     ["period"],
     ["value", *_ROLL["hourly"]],
+    digits=7,
 )
 def rolling_mean(spark, sf_dir):
     return features.rolling_mean(_filled(spark, sf_dir), HOURLY_ROLLS)
@@ -94,7 +95,7 @@ def rolling_mean(spark, sf_dir):
     with_views(f"SELECT region, series, period, value, {', '.join(_ROLL['daily'])} FROM dlook", "dlook"),
     ["period"],
     ["value", *_ROLL["daily"]],
-    digits=2,
+    digits=6,
 )
 def rolling_mean_daily(spark, sf_dir):
     return features.rolling_mean(_filled(spark, sf_dir, "daily"), DAILY_ROLLS, resolution="daily")
@@ -104,6 +105,7 @@ def rolling_mean_daily(spark, sf_dir):
     with_views("SELECT * FROM hfeatures", "hfeatures"),
     ["period"],
     ["y", *_WAVES_HOURLY, *_LAG["hourly"], *_ROLL["hourly"]],
+    digits=7,
 )
 def feature_matrix(spark, sf_dir):
     return features.feature_matrix(actuals(spark, sf_dir), HOURLY)
@@ -113,7 +115,7 @@ def feature_matrix(spark, sf_dir):
     with_views("SELECT * FROM dfeatures", "dfeatures"),
     ["period"],
     ["y", *_WAVES_DAILY, *_LAG["daily"], *_ROLL["daily"]],
-    digits=2,
+    digits=6,
 )
 def feature_matrix_daily(spark, sf_dir):
     return features.feature_matrix(actuals(spark, sf_dir, "daily"), DAILY)
@@ -134,7 +136,7 @@ def split_fraction(spark, sf_dir):
     return split.select(*KEYS, "period", "y", "is_test", "train_rows", "test_rows")
 
 
-@query(with_views(_split_sql("dfeatures", 60), "dfeatures"), ["period"], ["y"], digits=2)
+@query(with_views(_split_sql("dfeatures", 60), "dfeatures"), ["period"], ["y"], digits=6)
 def split_fraction_daily(spark, sf_dir):
     split = splits.split_fraction(features.feature_matrix(actuals(spark, sf_dir, "daily"), DAILY), 0.2, DAILY)
     return split.select(*KEYS, "period", "y", "is_test", "train_rows", "test_rows")

@@ -126,7 +126,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "hourly": (
         ("readings",),
-        f"""SELECT parent AS region, parent || ' total' AS series, period, sum(value) AS value
+        f"""SELECT parent AS region, parent || ' total' AS series, period, round(sum(value), 2) AS value
             FROM readings WHERE parent IN ({_names(HOURLY_REGIONS)}) GROUP BY parent, period""",
     ),
     "dreadings": (
@@ -137,7 +137,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "daily": (
         ("dreadings",),
-        f"""SELECT parent AS region, parent || ' total' AS series, period, sum(value) AS value
+        f"""SELECT parent AS region, parent || ' total' AS series, period, round(sum(value), 2) AS value
             FROM dreadings WHERE parent IN ({_names(DAILY_REGIONS)}) GROUP BY parent, period""",
     ),
     "hgrid": (("hourly",), _grid("hourly", "HOUR")),

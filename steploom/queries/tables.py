@@ -166,7 +166,7 @@ def write_csv(spark, sf_dir):
 
 def _report_text(sums):
     """One text per day in the layout of a backtest report."""
-    show = lambda c: F.format_string("%.6f", c)
+    show = lambda c: F.format_string("%.10f", c)
     parts = ("mae", "rmse", "mape", "smape")
     line = F.concat_ws("  ", "region", "series", F.col("n").cast("string"), *[show(p) for p in parts])
     head = F.concat_ws("  ", *[show(f"all.{p}") for p in parts], F.col("all.n").cast("string"))

@@ -19,7 +19,7 @@ SERIES_LINE = rf"^\s*(\S+)\s+(.+?)\s+{_METRICS}{_CRITERIA}\s*$"
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     """One row per report file: its path and its lines in order."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(
         F.input_file_name().alias("report"), F.split("value", r"\r\n|\r|\n").alias("lines")
     )
