@@ -23,11 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.buckets import WIDTH, bucket_window, with_halo
+from ..operators.buckets import WIDTH, with_halo
 from ..schemas import ARIMA_GRID, KEYS, ModelConfig
 from ..session import materialize
-from .base import tails
-from .gram import cross_products, solve, unpack
+from .gram import OPEN_SERIES, OpenSums, products_schema, solve, sum_products, unpack
 
 LONG_ORDER = 48
 RIDGE = 1e-8
@@ -62,21 +61,35 @@ def order_grid(grid: dict[str, list[int]] | None = None, season: int = 24) -> li
     return [Order(p, q, P, Q, season) for p in g["p"] for q in g["q"] for P in g["P"] for Q in g["Q"]]
 
 
-def _lagged(df: DataFrame, column: str, lags: Sequence[int], prefix: str, config: ModelConfig, keys) -> DataFrame:
-    """Lags of one column with zeros before the series' start."""
-    window = bucket_window(keys)
-    rows = with_halo(df, config.step_us, max(lags), width=max(WIDTH, max(lags)))
-    wide = rows.withColumns({f"{prefix}{k}": F.coalesce(F.lag(column, k).over(window), F.lit(0.0)) for k in lags})
-    return wide.where("_own").drop("_own", "_bucket")
+def chunks_of(scaled: DataFrame, halo: int, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Series cut into arrays of at most one bucket, each led by the ``halo`` values before it.
+
+    ``head`` counts the leading values that belong to the bucket before.
+    """
+    rows = with_halo(scaled, config.step_us, halo, width=max(WIDTH, halo))
+    packed = rows.groupBy(*keys, "_bucket").agg(
+        F.array_sort(F.collect_list(F.struct("period", "value"))).alias("_rows"),
+        F.count(F.when(~F.col("_own"), 1)).cast("int").alias("head"),
+    )
+    return packed.where(F.col("head") < F.size("_rows")).select(
+        *keys, F.col("_bucket").alias("bucket"), F.col("_rows")["value"].alias("value"), "head"
+    )
 
 
-def difference(df: DataFrame, season: int, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``w``: values differenced over one step and over one season; complete rows only."""
-    window = bucket_window(keys)
-    rows = with_halo(df, config.step_us, season + 1)
-    lag = lambda k: F.lag("value", k).over(window)
-    wide = rows.withColumn("w", F.col("value") - lag(1) - lag(season) + lag(season + 1))
-    return wide.where("_own").drop("_own", "_bucket").dropna(subset=["w"])
+def _differenced(value: np.ndarray, season: int) -> np.ndarray:
+    """``w``: differenced over one step and one season, from the first complete place on."""
+    once = value[1:] - value[:-1]
+    return once[season:] - once[:-season] if len(once) > season else once[:0]
+
+
+def _lags(x: np.ndarray, lags: Sequence[int], start: int) -> np.ndarray:
+    """Lagged copies of ``x[start:]`` as columns, zeros before its first value."""
+    out = np.zeros((len(x) - start, len(lags)))
+    for column, k in enumerate(lags):
+        first = max(start, k)
+        if first < len(x):
+            out[first - start :, column] = x[first - k : len(x) - k]
+    return out
 
 
 def _long_model(products: DataFrame, keys: list[str], long: int) -> DataFrame:
@@ -102,6 +115,31 @@ def _long_model(products: DataFrame, keys: list[str], long: int) -> DataFrame:
     return products.mapInPandas(fit, schema)
 
 
+def long_autoregression(chunks: DataFrame, season: int, long: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Coefficients ``long_coef`` of ``w`` on its last ``long`` values, intercept first."""
+    keys = list(keys)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = OpenSums(keys)
+        for batch in batches:
+            for key, value, head in _chunk_rows(batch, keys):
+                w = _differenced(value, season)
+                start = max(head - season - 1, 0)
+                if start < len(w):
+                    ones = np.ones(len(w) - start)
+                    sums.add(key, np.column_stack([ones, _lags(w, range(1, long + 1), start), w[start:]]))
+            yield from sums.flush(OPEN_SERIES)
+        yield from sums.flush()
+
+    parts = chunks.mapInPandas(partial, products_schema(chunks, keys))
+    return _long_model(sum_products(parts, keys), keys, long)
+
+
+def _chunk_rows(batch: pd.DataFrame, keys: list[str]):
+    for key, value, head in zip(batch[keys].itertuples(index=False, name=None), batch["value"], batch["head"]):
+        yield key, np.asarray(value, dtype=float), int(head)
+
+
 class ArimaLearner:
     """One or many orders at once; many orders add ``combo_id`` to the keys of the result."""
 
@@ -138,28 +176,41 @@ def forecast_orders(
     ma = sorted({k for o in orders for k in o.ma_lags})
     long = max([LONG_ORDER, *ar, *ma])
 
-    w_lags = [f"w{k}" for k in range(1, long + 1)]
-    # Kept: the value, its difference and the lags that either regression needs.
-    base = materialize(
-        _lagged(difference(scaled, season, config, keys), "w", range(1, long + 1), "w", config, keys), "differenced"
-    )
-    long_model = _long_model(cross_products(base, keys, [*w_lags, "w"]), keys, long)
-    fitted = F.element_at("long_coef", 1)
-    for i, c in enumerate(w_lags, start=2):
-        fitted = fitted + F.element_at("long_coef", i) * F.col(c)
-    residual = (
-        base.join(long_model, keys)
-        .withColumn("e", F.col("w") - fitted)
-        .select(*keys, "period", "value", "w", "e", *[f"w{k}" for k in ar])
-    )
-    staged = materialize(_lagged(residual, "e", ma, "e", config, keys) if ma else residual, "residuals")
-    names = [*[f"w{k}" for k in ar], *[f"e{k}" for k in ma]]
-    products = cross_products(staged, keys, [*names, "w"])
     back = season + 1
     reach = max([1, *ar, *ma])
+    chunks = materialize(chunks_of(scaled, back + long + reach, config, keys), "chunks")
+    modelled = chunks.join(long_autoregression(chunks, season, long, keys), keys)
+    names = [*[f"w{k}" for k in ar], *[f"e{k}" for k in ma]]
+
+    def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Products of the second regression and the tail of each chunk."""
+        for batch in batches:
+            out = batch[[*keys, "bucket"]].copy()
+            products, tails = [], {"value": [], "w": [], "e": []}
+            for (_, value, head), coef in zip(_chunk_rows(batch, keys), batch["long_coef"]):
+                w = _differenced(value, season)
+                # In a full halo the first ``long`` residuals lack lags; no own row looks back at them.
+                e = w - coef[0] - _lags(w, range(1, long + 1), 0) @ np.asarray(coef[1:])
+                start = min(max(head - back, 0), len(w))
+                x = np.column_stack([np.ones(len(w) - start), _lags(w, ar, start), _lags(e, ma, start), w[start:]])
+                products.append((x.T @ x)[np.triu_indices(x.shape[1])])
+                for name, series in (("value", value), ("w", w), ("e", e)):
+                    tails[name].append(series[-(back + reach) :])
+            yield out.assign(products=products, **tails)
+
+    doubles = T.ArrayType(T.DoubleType())
+    second_schema = T.StructType(
+        [scaled.schema[k] for k in keys]
+        + [T.StructField("bucket", T.LongType())]
+        + [T.StructField(c, doubles) for c in ("products", "value", "w", "e")]
+    )
+    # One short row per chunk, read twice below.
+    done = materialize(modelled.mapInPandas(second, second_schema), "second")
+    products = sum_products(done.select(*keys, "products"), keys)
+    ends = done.groupBy(*keys).agg(F.max_by(F.struct("value", "w", "e"), "bucket").alias("_tail"))
     states = (
-        tails(staged, back + reach, config, keys, ["value", "w", "e"])
-        .join(products.select(*keys, "rows", "products"), keys)
+        ends.select(*keys, "_tail.value", "_tail.w", "_tail.e")
+        .join(products, keys)
         .join(profile.select(*keys, "spread"), keys)
     )
 

@@ -11,7 +11,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A task holds at most this many open series before it hands its sums on.
-_OPEN_SERIES = 2000
+OPEN_SERIES = 2000
+
+
+class OpenSums:
+    """Cross products a task is still adding up, by series."""
+
+    def __init__(self, keys: Sequence[str]):
+        self.keys, self.sums = list(keys), {}
+
+    def add(self, key: tuple, x: np.ndarray) -> None:
+        products = (x.T @ x)[np.triu_indices(x.shape[1])]
+        self.sums[key] = self.sums[key] + products if key in self.sums else products
+
+    def flush(self, least: int = 1) -> Iterator[pd.DataFrame]:
+        """Hand on the sums when there are at least ``least`` of them."""
+        if len(self.sums) >= least:
+            out = pd.DataFrame(list(self.sums), columns=self.keys)
+            out["products"] = list(self.sums.values())
+            self.sums = {}
+            yield out
+
+
+def key_tuple(key) -> tuple:
+    return key if isinstance(key, tuple) else (key,)
+
+
+def products_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
+    return T.StructType([df.schema[k] for k in keys] + [T.StructField("products", T.ArrayType(T.DoubleType()))])
 
 
 def cross_products(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -21,35 +48,22 @@ def cross_products(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     one partial vector per task; the partial vectors are summed element by element.
     """
     keys, columns = list(keys), list(columns)
-    size = len(columns) + 1
-    upper = np.triu_indices(size)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_sums: dict[tuple, np.ndarray] = {}
-
-        def flush() -> pd.DataFrame:
-            out = pd.DataFrame(list(open_sums), columns=keys)
-            out["products"] = list(open_sums.values())
-            open_sums.clear()
-            return out
-
+        open_sums = OpenSums(keys)
         for batch in batches:
-            x = np.ones((len(batch), size))
+            x = np.ones((len(batch), len(columns) + 1))
             x[:, 1:] = batch[columns].to_numpy(dtype=float)
             for key, at in batch.groupby(keys, sort=False).indices.items():
-                part = x[at]
-                key = key if isinstance(key, tuple) else (key,)
-                sums = (part.T @ part)[upper]
-                open_sums[key] = open_sums[key] + sums if key in open_sums else sums
-            if len(open_sums) > _OPEN_SERIES:
-                yield flush()
-        if open_sums:
-            yield flush()
-
-    schema = T.StructType(
-        [df.schema[k] for k in keys] + [T.StructField("products", T.ArrayType(T.DoubleType()))]
-    )
-    parts = df.select(*keys, *columns).mapInPandas(partial, schema)
+                open_sums.add(key_tuple(key), x[at])
+            yield from open_sums.flush(OPEN_SERIES)
+        yield from open_sums.flush()
+
+    return sum_products(df.select(*keys, *columns).mapInPandas(partial, products_schema(df, keys)), keys)
+
+
+def sum_products(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Element-wise sums of the tasks' product vectors, with the row count in front."""
     cells = parts.select(*keys, F.posexplode("products").alias("_i", "_x"))
     summed = cells.groupBy(*keys, "_i").agg(F.sum("_x").alias("_x"))
     gathered = summed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_x"))).alias("_cells"))

@@ -17,12 +17,27 @@ def _lags(value: str, lags: Sequence[int], window) -> dict[str, Column]:
     return {f"lag_{k}": F.lag(value, k).over(window) for k in lags}
 
 
-def _rolling(value: str, widths: Sequence[int], window) -> dict[str, Column]:
+def _short_sum(value: str, width: int, window) -> Column:
+    """Sum of the ``width`` rows before the current one, NULL unless all are finite."""
+    frame = window.rowsBetween(-width, -1)
+    finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), F.col(value))
+    return F.when(F.count(finite).over(frame) == width, F.sum(finite).over(frame))
+
+
+def _rolling(value: str, widths: Sequence[int], window, short: str, base: int) -> dict[str, Column]:
+    """Means over ``widths`` rows, longer ones put together from lagged short sums.
+
+    A frame of 168 rows is added up anew for each row; seven lagged sums of 24 are not.
+    """
     out = {}
     for w in widths:
-        frame = window.rowsBetween(-w, -1)
-        finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), F.col(value))
-        out[f"rollmean_{w}"] = F.when(F.count(finite).over(frame) == w, F.avg(finite).over(frame))
+        blocks, rest = divmod(w, base)
+        parts = [F.lag(short, base * j).over(window) for j in range(blocks)]
+        parts += [F.lag(value, base * blocks + i).over(window) for i in range(1, rest + 1)]
+        total = parts[0]
+        for part in parts[1:]:
+            total = total + part
+        out[f"rollmean_{w}"] = total / w
     return out
 
 
@@ -44,8 +59,12 @@ def lookback_features(
     halo = max((*lags, *roll_windows, 0))
     window = bucket_window(keys)
     rows = with_halo(df, step, halo, width=width)
-    wide = rows.withColumns({**_lags(value, lags, window), **_rolling(value, roll_windows, window)})
-    return wide.where("_own").drop("_own", "_bucket")
+    columns = _lags(value, lags, window)
+    if roll_windows:
+        base = min(roll_windows)
+        rows = rows.withColumn("_short", _short_sum(value, base, window))
+        columns |= _rolling(value, roll_windows, window, "_short", base)
+    return rows.withColumns(columns).where("_own").drop("_own", "_bucket", "_short")
 
 
 def lag_features(df: DataFrame, lags: Sequence[int], keys: Sequence[str] = KEYS, resolution: str = "hourly", **kw):

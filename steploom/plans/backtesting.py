@@ -49,9 +49,9 @@ def split_forecast(
     Returns forecast rows and, per series, issue time and the sizes of both parts.
     """
     keys, learner = list(keys), learner or LinearLearner()
-    filled = regular_grid(df, keys, config.resolution, fill=True)
-    profile = materialize(profile_of(filled, keys), "profile")
-    features = features_of(scale(filled, profile, keys), config, keys)
+    filled = materialize(regular_grid(df, keys, config.resolution, fill=True), "filled")
+    profile = profile_of(filled, keys)
+    features = materialize(features_of(scale(filled, profile, keys), config, keys), "features")
     split = materialize(split_fraction(features, fraction, config, keys), "split")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     if isinstance(learner, BoostedLearner):
