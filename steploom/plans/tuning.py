@@ -89,7 +89,8 @@ def grid_search(
         scores = score_combo(steps, held, window.horizon, keys)
         return scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()])
 
-    results = reduce(DataFrame.unionByName, side_by_side(partial(run, combo) for combo in grid_combos(grid)))
+    scored = side_by_side(df.sparkSession, (partial(run, combo) for combo in grid_combos(grid)))
+    results = reduce(DataFrame.unionByName, scored)
     return combo_scores(results, ["combo_id", *PARAMETERS]).select(
         F.lit(window.key).alias("window"), "combo_id", *PARAMETERS, "mape", "n_series"
     )

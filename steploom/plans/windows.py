@@ -84,7 +84,8 @@ def run_windows(
         }
         return {name: df.withColumn("window", F.lit(target.key)) for name, df in found.items()}
 
-    done = side_by_side(partial(run, target) for target in targets)
+    spark = next(iter(tables.values())).sparkSession
+    done = side_by_side(spark, (partial(run, target) for target in targets))
     return {
         name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [d[name] for d in done])
         for name in done[0]

@@ -60,13 +60,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def side_by_side(steps: Iterable[Callable[[], R]], limit: int = 4) -> list[R]:
+def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], R]], limit: int = 4) -> list[R]:
     """Run independent steps at the same time, so small jobs fill the cluster together.
 
     Each step only builds and submits Spark jobs; results keep the order of the steps.
     """
     with ThreadPoolExecutor(max_workers=limit) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(step)) for step in steps]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
