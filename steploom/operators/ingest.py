@@ -159,7 +159,7 @@ def pull_plan(ranges: DataFrame) -> DataFrame:
     """
     month = F.col("_month")
     span = (F.year("end") * 12 + F.month("end")) - (F.year("start") * 12 + F.month("start"))
-    starts = ranges.withColumn("_months", F.sequence(F.lit(0), span + 1)).withColumn(
+    starts = ranges.where(F.col("start") <= F.col("end")).withColumn("_months", F.sequence(F.lit(0), span + 1)).withColumn(
         "_starts",
         F.transform(
             "_months",

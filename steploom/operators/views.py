@@ -14,7 +14,7 @@ from ..schemas import KEYS, window
 
 def prepare_actuals(df: DataFrame) -> DataFrame:
     """Typed actuals without rows that miss a time or value."""
-    return df.withColumns({"period": F.col("period").cast("timestamp"), "value": as_double(df, "value")}).dropna(
+    return df.withColumns({"period": F.col("period").try_cast("timestamp"), "value": as_double(df, "value")}).dropna(
         subset=["period", "value"]
     )
 
@@ -23,8 +23,8 @@ def prepare_forecasts(df: DataFrame) -> DataFrame:
     """Typed forecasts without rows that miss a time or value."""
     return df.withColumns(
         {
-            "issue_time": F.col("issue_time").cast("timestamp"),
-            "target_time": F.col("target_time").cast("timestamp"),
+            "issue_time": F.col("issue_time").try_cast("timestamp"),
+            "target_time": F.col("target_time").try_cast("timestamp"),
             "yhat": as_double(df, "yhat"),
         }
     ).dropna(subset=["issue_time", "target_time", "yhat"])

@@ -313,7 +313,7 @@ def _windows_sql() -> str:
     return f"{head},\n{', '.join(blocks)}\n{' UNION ALL '.join(results)}"
 
 
-@query(_windows_sql(), doubles=ERRORS, digits=3)
+@query(_windows_sql(), doubles=ERRORS, digits=6)
 def run_windows(spark, sf_dir):
     """Every window forecast and backtested; no series is long enough for the one-month window."""
     tables = {"hourly": actuals(spark, sf_dir), "daily": actuals(spark, sf_dir, "daily")}

@@ -28,7 +28,7 @@ def present(df: DataFrame, digits: int) -> DataFrame:
 
 
 def query(
-    sql: str | None = None, times: Sequence[str] = (), doubles: Sequence[str] = (), digits: int = 4
+    sql: str | None = None, times: Sequence[str] = (), doubles: Sequence[str] = (), digits: int = 7
 ) -> Callable:
     """Register a query under its function's name.
 

@@ -8,7 +8,7 @@ from ..operators.evaluate import best_combo, combo_scores, top_combos
 from ..operators.views import prepare_actuals as prepare_actual_rows
 from ..operators.views import prepare_forecasts as prepare_forecast_rows
 from ..plans.tuning import PARAMETERS, grid_combos
-from ..schemas import ACTUALS, BEST_PARAMS, FORECASTS, KEYS, WINDOWS
+from ..schemas import ACTUALS, BEST_PARAMS, FORECASTS, KEYS, PAGE_SIZE, WINDOWS
 from ..session import fresh_path
 from ..sources import pages, reports, tables
 from .data import actuals, forecasts, hourly_actuals, raw_readings, season_scores
@@ -62,11 +62,17 @@ def read_landed_pages(spark, sf_dir):
 
 
 def land_pages(readings, *extra):
-    """Page envelopes of text readings, one page per period (and pull)."""
+    """Page envelopes of text readings: each request asks for one period (of one pull).
+
+    A page takes at most ``PAGE_SIZE`` neighbouring rows of a task, so pages stay small
+    however many readings a period has; each reports the total of its request.
+    """
+    request = ["period", *extra]
     fields = F.struct("parent", "subba", "period", "value", "timezone")
-    grouped = readings.groupBy("period", *extra).agg(F.collect_list(fields).alias("data"))
-    envelope = F.struct(F.size("data").cast("string").alias("total"), "data").alias("response")
-    return grouped.select(envelope, *extra)
+    numbered = readings.withColumn("_page", F.floor(F.monotonically_increasing_id() / PAGE_SIZE))
+    grouped = numbered.groupBy(*request, "_page").agg(F.collect_list(fields).alias("data"))
+    totals = readings.groupBy(*request).agg(F.count(F.lit(1)).cast("string").alias("total"))
+    return grouped.join(totals, request).select(F.struct("total", "data").alias("response"), *extra)
 
 
 @query(
