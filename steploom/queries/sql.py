@@ -47,12 +47,14 @@ def _lookback(source: str, lags, rolls) -> str:
 
 
 CALENDAR_HOURLY = """
-    hour(period) AS hour, isodow(period) - 1 AS dayofweek, month(period) AS month,
+    CAST(hour(period) AS INTEGER) AS hour, CAST(isodow(period) - 1 AS INTEGER) AS dayofweek,
+    CAST(month(period) AS INTEGER) AS month,
     CASE WHEN isodow(period) >= 6 THEN 1 ELSE 0 END AS is_weekend,
     sin(2 * pi() * hour(period) / 24) AS hour_sin, cos(2 * pi() * hour(period) / 24) AS hour_cos,
     sin(2 * pi() * (isodow(period) - 1) / 7) AS dow_sin, cos(2 * pi() * (isodow(period) - 1) / 7) AS dow_cos"""
 CALENDAR_DAILY = """
-    isodow(period) - 1 AS dayofweek, month(period) AS month, dayofyear(period) AS dayofyear,
+    CAST(isodow(period) - 1 AS INTEGER) AS dayofweek, CAST(month(period) AS INTEGER) AS month,
+    CAST(dayofyear(period) AS INTEGER) AS dayofyear,
     CASE WHEN isodow(period) >= 6 THEN 1 ELSE 0 END AS is_weekend,
     sin(2 * pi() * (isodow(period) - 1) / 7) AS dow_sin, cos(2 * pi() * (isodow(period) - 1) / 7) AS dow_cos,
     sin(2 * pi() * dayofyear(period) / 365.25) AS doy_sin, cos(2 * pi() * dayofyear(period) / 365.25) AS doy_cos,
