@@ -13,6 +13,7 @@ from .mil_quality import MilConfig, quality_score, train_quality
 from .mil_quality import held_out as mil_held_out
 from .mixing import mix_sources
 from .near_dup import near_duplicate_components
+from .oracles import ORACLES
 from .packing import PackConfig, pack_documents
 from .quality_rules import judge_documents
 from .topk import quantized, search_top_k
@@ -99,4 +100,4 @@ QUERIES = {
     "op10_top_k": top_k,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
