@@ -29,7 +29,9 @@ class NearDupConfig:
     With 40 bands of 6 registers a pair at 0.85 is missed with probability 6e-9, with 60
     bands a pair at 0.8 with 1e-8.  ``slack``: a candidate is compared in full unless its likely
     similarity is this many standard errors below the limit.  ``block_docs`` and
-    ``block_bytes``: documents of a candidate group that one task compares.
+    ``block_bytes``: documents of a candidate group that one task compares.  A group of at least
+    ``mixing_blocks`` blocks is dealt into other blocks ``mixing_rounds`` times before its
+    stragglers meet all others; that saves comparisons and changes no result.
     """
 
     percent: int = 85
@@ -39,6 +41,7 @@ class NearDupConfig:
     block_docs: int = 256
     block_bytes: int = 8 << 20
     mixing_rounds: int = 2
+    mixing_blocks: int = 32
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -207,8 +210,7 @@ def near_duplicate_components(docs: DataFrame, config: NearDupConfig | None = No
        links its members to its smallest one only; the components of these links are
        candidate groups.
     3. A group is compared in blocks of bounded size.  A group of one block is done then.
-       Larger ones are dealt into other blocks again, so that their components grow
-       together; documents outside a group's largest component then meet all others, block by block.
+       Of larger ones, documents outside a group's largest component then meet all others, block by block.
     4. Components of the confirmed links name the groups of near-duplicates.
 
     No pair leaves a task unless it joins two components.  No number of candidates is capped.
@@ -221,12 +223,12 @@ def near_duplicate_components(docs: DataFrame, config: NearDupConfig | None = No
     sketched = materialize(own.mapInArrow(_sketched(config), SKETCH_SCHEMA), "sketches")
     named = sketched.where("doc_id IS NOT NULL AND set_id IS NOT NULL")
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    members = materialize(
-        named.join(classes, "set_id").select("doc_id", "rep").where("doc_id <> rep").distinct(), "members"
+    is_rep = F.col("doc_id") == F.col("rep")
+    classed = materialize(
+        named.join(classes, "set_id").select("doc_id", "rep", "n_bytes", F.when(is_rep, F.col("bands")).alias("bands")), "classes"
     )
-    reps = named.join(classes.select(F.col("rep").alias("doc_id"), "set_id"), ["doc_id", "set_id"])
-    links = _confirmed_links(own, reps, config)
-    edges = links.unionByName(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = _confirmed_links(own, classed.where(is_rep), config)
+    edges = links.unionByName(classed.where(~is_rep).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = connected_components(edges).select(F.col("node").alias("doc_id"), F.col("component"))
     joined = sketched.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -263,8 +265,9 @@ def _confirmed_links(own: DataFrame, reps: DataFrame, config: NearDupConfig) ->
     large = compared.where("blocks > 1")
     if large.isEmpty():
         return links
-    for salt in range(1, config.mixing_rounds + 1):
-        labelled = _labelled(large, links)
+    huge = compared.where(F.col("blocks") >= config.mixing_blocks)
+    for salt in range(1, 1 + (0 if huge.isEmpty() else config.mixing_rounds)):
+        labelled = _labelled(huge, links)
         again = labelled.select(
             F.struct("grp", _place(salt, F.col("blocks")).alias("i"), F.lit(0).cast("long").alias("j")).alias("block"),
             "doc_id", "label", two.alias("side"), "text",
