@@ -14,7 +14,7 @@ from steploom.session import materialize
 from .common import let, spare_name, words
 
 #: Rounds of a keyed permutation; each moves about half of the values.
-ROUNDS = 24
+ROUNDS = 16
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class MixConfig:
 
     ``block``: words in a block.  ``shard_slots``: blocks in an output shard.
     ``max_repeats``: how often a source may be used up.  ``run_rows``: documents of a
-    source that one task numbers.
+    source that one task numbers.  ``task_slots``: slots that one task draws.
     """
 
     weights: Sequence[int] = (5, 2, 1)
@@ -31,6 +31,7 @@ class MixConfig:
     block: int = 64
     shard_slots: int = 4096
     run_rows: int = 4096
+    task_slots: int = 1 << 17
     seed: int = 17
 
 
@@ -109,7 +110,7 @@ def number_words(docs: DataFrame, config: MixConfig) -> DataFrame:
     return numbered.withColumn("nth", F.row_number().over(equal))
 
 
-def draw_slots(spark_like: DataFrame, plan: DataFrame, config: MixConfig) -> DataFrame:
+def draw_slots(like: DataFrame, plan: DataFrame, config: MixConfig) -> DataFrame:
     """``shard``, ``slot``, ``source``, ``block`` and ``turn`` of every slot of the output.
 
     A keyed permutation deals the sources' slots over all output slots.  A shard's
@@ -118,7 +119,8 @@ def draw_slots(spark_like: DataFrame, plan: DataFrame, config: MixConfig) -> Dat
     k-th slot of a source takes block ``permutation(k mod blocks)`` of turn ``k div blocks``.
     """
     total = plan.agg(F.sum("slots")).first()[0] or 0
-    out = spark_like.sparkSession.range(total).select(
+    tasks = max(like.sparkSession.sparkContext.defaultParallelism, total // config.task_slots)
+    out = like.sparkSession.range(0, total, 1, tasks).select(
         F.col("id").alias("out"), permuted(F.col("id"), F.lit(max(total, 1)).cast("long"), F.lit(config.seed)).alias("drawn")
     )
     owner = plan.where("slots > 0")
