@@ -90,9 +90,11 @@ def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
-    """A container in a path: its tag and classes, without digits, so that pages of a template agree."""
-    classes = sorted({re.sub(r"[\d_-]+", "", c).lower() for c in attributes.get("class", "").split()} - {""})
-    return ".".join([tag, *classes])
+    """A container in a path: its tag, classes and id, without digits, so that pages of a template agree."""
+    general = lambda c: re.sub(r"[\d_/-]+", "", c).lower()
+    classes = sorted({general(c) for c in attributes.get("class", "").split()} - {""})
+    name = general(attributes.get("id", ""))
+    return ".".join([tag, *classes]) + (f"#{name}" if name else "")
 
 
 @dataclass
@@ -196,6 +198,10 @@ def _starts(path: tuple[str, ...], prefix: tuple[str, ...]) -> bool:
     return path[: len(prefix)] == prefix
 
 
+def _tag_of(path: tuple[str, ...]) -> str:
+    return re.split(r"[.#]", path[-1])[0]
+
+
 def best_path(blocks: list[Block], share: float = 0.7) -> tuple[tuple[str, ...], int]:
     """The container that holds a page's main text, and its score.
 
@@ -210,9 +216,9 @@ def best_path(blocks: list[Block], share: float = 0.7) -> tuple[tuple[str, ...],
     total = worth.get((), 0)
     if not total:
         return (), 0
-    named = [p for p, v in worth.items() if v and p and p[-1].split(".")[0] in ("article", "main")]
+    named = [p for p, v in worth.items() if v and p and _tag_of(p) in ("article", "main")]
     if named:
-        chosen = max(named, key=lambda p: (p[-1].split(".")[0] == "article", worth[p], -len(p), p))
+        chosen = max(named, key=lambda p: (_tag_of(p) == "article", worth[p], -len(p), p))
     else:
         chosen = max((p for p, v in worth.items() if v >= share * total), key=lambda p: (len(p), worth[p], p))
     return chosen, worth[chosen]
