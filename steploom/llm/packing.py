@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,70 +36,66 @@ class PackConfig:
     length: int = 2048
     end_id: int = 1
     sentence_cut: float = 2.0
-    word_cut: float = 8.0
+    word_cut: float = 4.0
     run_tokens: int = 1 << 19
-    filler: int = 96
-    cache_words: int = 300_000
+    filler: int = 48
+    cache_words: int = 800_000
 
 
 # The split pattern of the vocabulary file.
+_ASCII_SPACES = dict.fromkeys(map(ord, "\t\n\x0b\x0c\r"), " ")
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+# Code points on which lower case, composition and character classes are settled
+# alike everywhere: printable ASCII and white space, and Latin letters and signs up to U+012F.
+_PLAIN = re.compile("[\\x09-\\x0d\\x20-\\x7e\u00a1-\u012f]*\\Z")
+
+
+def _plain_pattern() -> re.Pattern:
+    """The split pattern for plain text, with its letters and numbers written out."""
+    plain = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x130))]
+    letters, numbers = (
+        "".join(re.escape(c) for c in plain if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}")
+    )
+    return re.compile(SPLIT_PATTERN.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+
+
+class _PartIds(dict):
+    """Ids of the parts of words, asked of the tokenizer when they are new."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self[part] = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        return ids
+
+
 class WordTokenizer:
-    """Token ids of texts, word by word, with a bounded memory for words seen before.
+    """Token ids of texts, part by part, with a bounded memory for parts seen before.
 
-    The vocabulary never joins across white space, so a text's ids are its words' ids in
-    order.  A new word of plain ASCII letters and signs is split as the tokenizer would
-    split it and its parts are looked up; any other new word goes to the tokenizer whole.
+    The vocabulary splits a text into words, numbers and signs and never joins across
+    them, so a text's ids are its parts' ids in order.  Plain text is split here; what has
+    other characters or something like a special token in it goes to the tokenizer word by word.
     """
 
     def __init__(self, path: str, cache_words: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(SPLIT_PATTERN)
+        self.split = _plain_pattern()
         self.cache_words = cache_words
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _plain(self, word: str) -> str | None:
-        """Lower-cased composed form where that is certain to be the tokenizer's; else None."""
-        if "<|" in word:
-            return None
-        word = unicodedata.normalize("NFC", word)
-        return word.lower() if all(c < "İ" for c in word) and not regex.search(r"[\x1c-\x1f\x85\xa0]", word) else None
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        plain = self._plain(text)
-        if plain is None:
-            return self._direct(text)
-        found = []
-        for part in self.split.findall(plain):
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.parts[part] = self._direct(part)
-            found.append(ids)
-        return b"".join(found)
+        self.parts = _PartIds(Tokenizer.from_file(path))
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
-        words = text.encode("utf-8", "replace").split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            pass
-        if len(self.words) > self.cache_words:
-            self.words.clear()
         if len(self.parts) > self.cache_words:
             self.parts.clear()
-        for w in set(words).difference(self.words):
-            self.words[w] = self._word(w)
-        return b"".join(map(self.words.__getitem__, words))
+        if "<|" not in text and _PLAIN.match(text):
+            parts = self.split.findall(text.lower())
+        else:
+            parts = text.encode("utf-8", "replace").decode("utf-8").translate(_ASCII_SPACES).split(" ")
+        return b"".join(map(self.parts.__getitem__, parts))
 
 
 @lru_cache(maxsize=2)
