@@ -222,7 +222,8 @@ def near_duplicate_components(docs: DataFrame, config: NearDupConfig | None = No
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = materialize(own.mapInArrow(_sketched(config), SKETCH_SCHEMA), "sketches")
     named = sketched.where("doc_id IS NOT NULL AND set_id IS NOT NULL")
-    classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    # Stored, so that the join below is a plain one whose hot keys Spark can split.
+    classes = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "set-classes")
     is_rep = F.col("doc_id") == F.col("rep")
     classed = materialize(
         named.join(classes, "set_id").select("doc_id", "rep", "n_bytes", F.when(is_rep, F.col("bands")).alias("bands")), "classes"
