@@ -47,8 +47,16 @@ def series_name(region: Column | str) -> Column:
 
 
 def iso(col: Column | str) -> Column:
-    """ISO-8601 text of a UTC timestamp."""
-    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    """ISO-8601 text of a UTC timestamp, with microseconds where there are any."""
+    whole = F.unix_micros(F.col(col).cast("timestamp") if isinstance(col, str) else col.cast("timestamp")) % 1_000_000 == 0
+    return F.when(whole, F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).otherwise(
+        F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    )
+
+
+def finite(col: Column) -> Column:
+    """NaN and the infinities become NULL, which JSON can hold."""
+    return F.when(~F.isnan(col) & (F.abs(col) != float("inf")), col)
 
 
 def shift_steps(time: Column | str, steps: Column | int, step_us: int) -> Column:

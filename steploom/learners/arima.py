@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.buckets import WIDTH, with_halo
-from ..schemas import ARIMA_GRID, KEYS, ModelConfig
+from ..schemas import ARIMA_GRID, KEYS, SeriesModel
 from ..session import materialize
 from .gram import OPEN_SERIES, OpenSums, products_schema, solve, sum_products, unpack
 
@@ -61,7 +61,7 @@ def order_grid(grid: dict[str, list[int]] | None = None, season: int = 24) -> li
     return [Order(p, q, P, Q, season) for p in g["p"] for q in g["q"] for P in g["P"] for Q in g["Q"]]
 
 
-def chunks_of(scaled: DataFrame, halo: int, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
+def chunks_of(scaled: DataFrame, halo: int, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
     """Series cut into arrays of at most one bucket, each led by the ``halo`` values before it.
 
     ``head`` counts the leading values that belong to the bucket before.
@@ -144,16 +144,17 @@ class ArimaLearner:
     """One or many orders at once; many orders add ``combo_id`` to the keys of the result."""
 
     info_cols = ("aic", "bic", "hqic", "llf")
+    splits = False
 
     def __init__(self, order: Order | None = None, min_observations: int = 96):
         self.order = order or Order()
         self.min_observations = min_observations
 
-    def trainable(self, config: ModelConfig) -> Column:
+    def trainable(self, config: SeriesModel) -> Column:
         return F.col("points") >= self.min_observations
 
     def forecast(
-        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: ModelConfig, keys: Sequence[str] = KEYS
+        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> tuple[DataFrame, DataFrame]:
         paths, info = forecast_orders(scaled, profile, horizon, config, [self.order], keys)
         return paths.drop("combo_id"), info.drop("combo_id", "order")
@@ -163,7 +164,7 @@ def forecast_orders(
     scaled: DataFrame,
     profile: DataFrame,
     horizon: int,
-    config: ModelConfig,
+    config: SeriesModel,
     orders: Sequence[Order],
     keys: Sequence[str] = KEYS,
 ) -> tuple[DataFrame, DataFrame]:

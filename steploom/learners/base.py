@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.splits import future_grid, trim_train
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
+from ..session import materialize
 
 
 class Learner(Protocol):
@@ -17,15 +19,17 @@ class Learner(Protocol):
 
     ``forecast`` gets filled grids of trainable series as ``keys, period, z`` (values
     scaled per series) with their ``profile`` and returns predictions
-    ``keys, step_no, z`` and training information ``keys, *info_cols``.
+    ``keys, step_no, z`` and training information ``keys, *info_cols``.  ``splits``: whether
+    it can also be fitted on feature rows and score later ones with their true lags.
     """
 
     info_cols: tuple[str, ...]
+    splits: bool
 
-    def trainable(self, config: ModelConfig) -> Column: ...
+    def trainable(self, config: SeriesModel) -> Column: ...
 
     def forecast(
-        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: ModelConfig, keys: Sequence[str]
+        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, keys: Sequence[str]
     ) -> tuple[DataFrame, DataFrame]: ...
 
 
@@ -54,7 +58,7 @@ def unscale(scaled: DataFrame, profile: DataFrame, keys: Sequence[str] = KEYS) -
 
 
 def tails(
-    df: DataFrame, length: int, config: ModelConfig, keys: Sequence[str] = KEYS, columns: Sequence[str] = ("value",)
+    df: DataFrame, length: int, config: SeriesModel, keys: Sequence[str] = KEYS, columns: Sequence[str] = ("value",)
 ) -> DataFrame:
     """The last ``length`` steps of each series as arrays, oldest first.
 
@@ -75,21 +79,46 @@ def persistence(
     return steps.join(origins.select(*keys, F.coalesce("last_value", F.lit(0.0)).alias("yhat")), list(keys))
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """What all settings of a learner have in common: profiles, scaled grids and feature rows.
+
+    ``features`` is None for learners that make their own.
+    """
+
+    profile: DataFrame
+    ready: DataFrame
+    scaled: DataFrame
+    features: DataFrame | None
+
+
+def prepare(
+    filled: DataFrame, config: SeriesModel, learner: Learner, keys: Sequence[str] = KEYS, store: bool = False
+) -> Prepared:
+    """Profile and scale filled grids; ``store`` writes what several fits will read."""
+    kept = materialize if store else lambda df, name: df
+    profile = kept(profile_of(filled, keys), "profile")
+    ready = profile.where(learner.trainable(config))
+    scaled = kept(scale(filled, ready, keys), "scaled")
+    return Prepared(profile, ready, scaled, learner.prepare(scaled, config, keys) if hasattr(learner, "prepare") else None)
+
+
 def forecast_filled(
-    filled: DataFrame, horizon: int, config: ModelConfig, learner: Learner, keys: Sequence[str] = KEYS
+    filled: DataFrame,
+    horizon: int,
+    config: SeriesModel,
+    learner: Learner,
+    keys: Sequence[str] = KEYS,
+    prepared: Prepared | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast every filled grid: trainable series by the learner, others by persistence.
 
     Returns ``keys, step_no, yhat`` and the training information of trained series.
     """
-    profile = profile_of(filled, keys)
-    long = learner.trainable(config)
-    ready = profile.where(long)
-    z, info = learner.forecast(scale(filled, ready, keys), ready, horizon, config, keys)
+    given = prepared or prepare(filled, config, learner, keys)
+    profile, ready, long = given.profile, given.ready, learner.trainable(config)
+    shared = {} if given.features is None else {"features": given.features}
+    z, info = learner.forecast(given.scaled, ready, horizon, config, keys, **shared)
     trained = unscale(z, ready, keys).select(*keys, "step_no", "yhat")
     short = persistence(profile.where(~long), horizon, config.resolution, keys)
     return trained.unionByName(short.select(*keys, "step_no", "yhat")), info
-
-
-def empty_info(profile: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    return profile.select(*keys, *[F.lit(None).cast("double").alias(c) for c in columns])

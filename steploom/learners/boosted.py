@@ -11,34 +11,35 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.features import features_of
 from ..operators.splits import trainable
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
 from ..session import fresh_path, materialize
 from .base import tails
 from .recursion import recursive_forecast
 
 
-def _assembler(config: ModelConfig) -> VectorAssembler:
+def _assembler(config: SeriesModel) -> VectorAssembler:
     return VectorAssembler(inputCols=config.feature_cols, outputCol="features")
 
 
-def _regressor(config: ModelConfig) -> GBTRegressor:
+def _regressor(config: SeriesModel) -> GBTRegressor:
     return GBTRegressor(
         labelCol="y",
         featuresCol="features",
         predictionCol="z",
         lossType="squared",
-        maxIter=config.n_estimators,
-        maxDepth=config.max_depth,
-        stepSize=config.learning_rate,
-        subsamplingRate=config.subsample,
-        featureSubsetStrategy="all" if config.colsample_bytree >= 1 else str(config.colsample_bytree),
-        minInstancesPerNode=config.min_child_weight,
+        maxIter=config.trees.n_estimators,
+        maxDepth=config.trees.max_depth,
+        stepSize=config.trees.learning_rate,
+        subsamplingRate=config.trees.subsample,
+        featureSubsetStrategy="all" if config.trees.colsample_bytree >= 1 else str(config.trees.colsample_bytree),
+        minInstancesPerNode=config.trees.min_child_weight,
         maxBins=64,
         checkpointInterval=10,
-        seed=config.seed,
+        seed=config.trees.seed,
     )
 
 
@@ -99,22 +100,23 @@ class BoostedLearner:
 
     ``scope="pooled"`` fits one model on the scaled rows of all series, so training is
     spread by rows however many series there are or however long one of them is.
-    ``scope="series"`` fits one model per series, for a handful of series; each fit is
-    itself a distributed job.
+    ``scope="series"`` fits one model per series, as many as there are, a few side by side;
+    each fit is itself a distributed job on the series' own files.  It takes time in
+    proportion to the number of series, so the pooled scope is the choice for many.
     """
 
     info_cols = ("train_rows", "n_features")
-    MAX_SERIES = 100
+    splits = True
 
     def __init__(self, scope: str = "pooled"):
         if scope not in ("pooled", "series"):
             raise ValueError("scope is either 'pooled' or 'series'")
         self.scope = scope
 
-    def trainable(self, config: ModelConfig) -> Column:
+    def trainable(self, config: SeriesModel) -> Column:
         return trainable(config)
 
-    def fit(self, features: DataFrame, config: ModelConfig) -> PipelineModel:
+    def fit(self, features: DataFrame, config: SeriesModel) -> PipelineModel:
         """One model on all given feature rows."""
         assembler = _assembler(config)
         rows = assembler.transform(features).select("features", "y")
@@ -123,21 +125,22 @@ class BoostedLearner:
     def _groups(self, rows: DataFrame, keys: Sequence[str]) -> list[tuple[dict, DataFrame]]:
         if self.scope == "pooled":
             return [({}, rows)]
-        # One row more than allowed is enough to see that there are too many series.
-        found = rows.select(*keys).distinct().limit(self.MAX_SERIES + 1).collect()
-        if len(found) > self.MAX_SERIES:
-            raise ValueError(f"more than {self.MAX_SERIES} series; use scope='pooled'")
+        # Stored by key, so that a series' fit reads its own rows and no others.
+        path = fresh_path(rows.sparkSession, "by-series")
+        copies = {f"_by_{i}": F.col(k) for i, k in enumerate(keys)}
+        rows.withColumns(copies).repartition(*copies).write.partitionBy(*copies).parquet(path)
+        schema = T.StructType([*rows.schema.fields, *[T.StructField(c, T.StringType()) for c in copies]])
+        stored = rows.sparkSession.read.schema(schema).parquet(path)
         groups = []
-        for key in sorted(found):
-            match = [F.col(k) == key[k] for k in keys]
-            where = match[0]
-            for m in match[1:]:
-                where = where & m
-            groups.append((key.asDict(), rows.where(where)))
+        for key in rows.select(*keys).distinct().orderBy(*keys).toLocalIterator():
+            own = stored
+            for c, k in zip(copies, keys, strict=True):
+                own = own.where(F.col(c) == key[k])
+            groups.append((key.asDict(), own.drop(*copies)))
         return groups
 
     def fit_predict(
-        self, train: DataFrame, test: DataFrame, config: ModelConfig, keys: Sequence[str] = KEYS
+        self, train: DataFrame, test: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> DataFrame:
         """Test rows with their prediction ``z``."""
         test_groups = dict((tuple(sorted(k.items())), g) for k, g in self._groups(test, keys))
@@ -147,11 +150,21 @@ class BoostedLearner:
             out = part if out is None else out.unionByName(part)
         return test.withColumn("z", F.lit(None).cast("double")).limit(0) if out is None else out
 
+    def prepare(self, scaled: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
+        """Feature rows, written once for all settings that are fitted on them."""
+        return materialize(features_of(scaled, config, list(keys)), "features")
+
     def forecast(
-        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: ModelConfig, keys: Sequence[str] = KEYS
+        self,
+        scaled: DataFrame,
+        profile: DataFrame,
+        horizon: int,
+        config: SeriesModel,
+        keys: Sequence[str] = KEYS,
+        features: DataFrame | None = None,
     ) -> tuple[DataFrame, DataFrame]:
         keys = list(keys)
-        rows = materialize(features_of(scaled, config, keys), "features")
+        rows = self.prepare(scaled, config, keys) if features is None else features
         states = tails(scaled, config.reach, config, keys)
         info = rows.groupBy(*keys).agg(
             F.count(F.lit(1)).cast("double").alias("train_rows"),

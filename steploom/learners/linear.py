@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.features import features_of
 from ..operators.splits import trainable
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
 from .base import tails
 from .gram import cross_products, solve, unpack
 from .recursion import recursive_forecast
@@ -30,11 +30,12 @@ class LinearLearner:
     are feature rows to be multiplied and one model row per series."""
 
     info_cols = ("train_rows", "n_features")
+    splits = True
 
-    def trainable(self, config: ModelConfig) -> Column:
+    def trainable(self, config: SeriesModel) -> Column:
         return trainable(config)
 
-    def fit(self, features: DataFrame, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
+    def fit(self, features: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
         """Model table ``keys, train_rows, coef``; the intercept comes first."""
         keys, names, ridge = list(keys), config.feature_cols, config.ridge
         design = features.select(
@@ -59,7 +60,7 @@ class LinearLearner:
         return products.mapInPandas(solve_all, schema)
 
     def predict(
-        self, features: DataFrame, model: DataFrame, config: ModelConfig, keys: Sequence[str] = KEYS
+        self, features: DataFrame, model: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> DataFrame:
         """Feature rows with their prediction ``z``, computed in the JVM."""
         z = F.element_at("coef", 1)
@@ -68,7 +69,7 @@ class LinearLearner:
         return features.join(model.select(*keys, "coef"), list(keys)).withColumn("z", z).drop("coef")
 
     def forecast(
-        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: ModelConfig, keys: Sequence[str] = KEYS
+        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> tuple[DataFrame, DataFrame]:
         model = self.fit(features_of(scaled, config, keys), config, keys)
         centre = np.array([_centre(c)[0] for c in config.feature_cols])

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import ModelConfig
+from ..schemas import SeriesModel
 
 Predict = Callable[[pd.DataFrame, np.ndarray], np.ndarray]
 
 
-def _calendar(times: np.ndarray, config: ModelConfig) -> dict[str, np.ndarray]:
+def _calendar(times: np.ndarray, config: SeriesModel) -> dict[str, np.ndarray]:
     at = pd.DatetimeIndex(times)
     wave = lambda v, n: (np.sin(2 * np.pi * v / n), np.cos(2 * np.pi * v / n))
     hour, dow, doy, month = (np.asarray(v, dtype=float) for v in (at.hour, at.dayofweek, at.dayofyear, at.month))
@@ -30,7 +30,7 @@ def _calendar(times: np.ndarray, config: ModelConfig) -> dict[str, np.ndarray]:
 
 
 def recursive_forecast(
-    states: DataFrame, horizon: int, config: ModelConfig, predict: Predict, keys: Sequence[str]
+    states: DataFrame, horizon: int, config: SeriesModel, predict: Predict, keys: Sequence[str]
 ) -> DataFrame:
     """Predictions ``keys, step_no, z`` from ``keys, origin, value`` (tail array) states.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.features import lag_features
 from ..operators.splits import future_grid, trim_train
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
 
 SEASON = {"hourly": 24, "daily": 7}
 
@@ -21,17 +21,21 @@ def seasonal_naive(df: DataFrame, period: int, keys: Sequence[str] = KEYS, resol
 
 
 class SeasonalNaive:
-    """Baseline without parameters; needs one season of history."""
+    """Baseline; needs one season of history."""
 
     info_cols = ("train_rows",)
+    splits = False
 
-    def trainable(self, config: ModelConfig):
-        return F.col("points") >= SEASON[config.resolution]
+    def season(self, config: SeriesModel) -> int:
+        return SEASON[config.resolution]
+
+    def trainable(self, config: SeriesModel):
+        return F.col("points") >= self.season(config)
 
     def forecast(
-        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: ModelConfig, keys: Sequence[str] = KEYS
+        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> tuple[DataFrame, DataFrame]:
-        season = SEASON[config.resolution]
+        season = self.season(config)
         last = trim_train(scaled, season, keys, config.resolution)
         # Steps from the row's time to the end of the history give its place in the season.
         back = ((F.unix_micros("origin") - F.unix_micros("period")) / config.step_us).cast("int")

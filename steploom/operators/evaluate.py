@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import not_nan
 from ..functions.errors import by_series, error_sums, overall
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, TreeSettings
 
 
 def join_actual_forecast(actual: DataFrame, forecast: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -89,7 +89,7 @@ def params_or_default(windows: DataFrame, best: DataFrame) -> DataFrame:
     """Hyperparameters per window: tuned ones where stored, else the defaults."""
     tuned = best.select(F.col("window").alias("key"), "params")
     names = ("n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight")
-    base = ModelConfig()
+    base = TreeSettings()
     joined = windows.join(tuned, "key", "left")
     return joined.select(
         "key",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
-from ..schemas import KEYS, STEP_SECONDS, ModelConfig
+from ..schemas import KEYS, STEP_SECONDS, SeriesModel
 from .buckets import WIDTH, bucket_window, with_halo
 from .gridding import regular_grid
 
@@ -58,7 +58,7 @@ def lookback_features(
     step = STEP_SECONDS[resolution] * 1_000_000
     halo = max((*lags, *roll_windows, 0))
     window = bucket_window(keys)
-    rows = with_halo(df, step, halo, width=width)
+    rows = with_halo(df, step, halo, width=max(width, halo))
     columns = _lags(value, lags, window)
     if roll_windows:
         base = min(roll_windows)
@@ -75,7 +75,7 @@ def rolling_mean(df: DataFrame, widths: Sequence[int], keys: Sequence[str] = KEY
     return lookback_features(df, (), widths, keys, resolution, **kw)
 
 
-def features_of(filled: DataFrame, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
+def features_of(filled: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
     """Complete feature rows of a filled grid; the target column is ``y``."""
     wide = lookback_features(filled, config.lags, config.roll_windows, keys, config.resolution)
     complete = wide.dropna(subset=["value", *config.lag_cols, *config.roll_cols])
@@ -90,6 +90,6 @@ def features_of(filled: DataFrame, config: ModelConfig, keys: Sequence[str] = KE
     )
 
 
-def feature_matrix(df: DataFrame, config: ModelConfig, keys: Sequence[str] = KEYS) -> DataFrame:
+def feature_matrix(df: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
     """Actuals to feature rows: grid, gap fill, calendar, lags, rolling means."""
     return features_of(regular_grid(df, keys, config.resolution, fill=True), config, keys)

@@ -104,15 +104,20 @@ def dedup_periods(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str
 def watermarks(df: DataFrame, dataset: str, partition_cols: Sequence[str] = KEYS) -> DataFrame:
     """Newest period per partition and overall (``partition_key`` NULL).
 
-    The second grouping runs on one row per partition, not on the readings.
+    The second grouping runs on one row per partition, not on the readings.  Rows with
+    a NULL key belong to no partition and count overall.
     """
     cols = list(partition_cols)
-    newest = df.dropna(subset=cols).groupBy(*cols).agg(F.max("period").alias("max_period"))
+    newest = df.groupBy(*cols).agg(F.max("period").alias("max_period"))
     levels = newest.groupingSets([[F.col(c) for c in cols], []], *[F.col(c) for c in cols]).agg(
         F.max("max_period").alias("max_period"), F.grouping_id().alias("_level")
     )
+    named = F.lit(True)
+    for c in cols:
+        named = named & F.col(c).isNotNull()
     key = F.when(F.col("_level") == 0, F.concat_ws("|", *cols))
-    return levels.where(F.col("max_period").isNotNull()).select(
+    kept = levels.where(F.col("max_period").isNotNull() & ((F.col("_level") > 0) | named))
+    return kept.select(
         F.lit(dataset).alias("dataset"), key.alias("partition_key"), "max_period"
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import shift_steps
-from ..schemas import KEYS, MIN_FEATURE_ROWS, STEP_SECONDS, ModelConfig
+from ..schemas import KEYS, MIN_FEATURE_ROWS, STEP_SECONDS, SeriesModel
 from .buckets import positions
 
 
@@ -17,7 +17,7 @@ def _step(resolution: str) -> int:
 
 
 def split_fraction(
-    features: DataFrame, fraction: float, config: ModelConfig, keys: Sequence[str] = KEYS
+    features: DataFrame, fraction: float, config: SeriesModel, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Flag the last ``fraction`` of each series' feature rows as test rows.
 
@@ -109,12 +109,7 @@ def trim_train(
     return train.join(ends, list(keys)).where(F.col("period") >= cutoff).drop("_end")
 
 
-def series_size(filled: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Grid length and last time of each series."""
-    return filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"), F.max("period").alias("origin"))
-
-
-def trainable(config: ModelConfig):
+def trainable(config: SeriesModel):
     """Whether a filled grid of ``points`` steps has enough complete feature rows."""
     return (F.col("points") >= config.min_observations) & (F.col("points") - config.reach >= MIN_FEATURE_ROWS)
 

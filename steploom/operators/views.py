@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, TimestampType
 
-from ..functions.columns import as_double, iso, not_nan
+from ..functions.columns import as_double, iso, finite
 from ..schemas import KEYS, window
 
 
@@ -41,13 +41,13 @@ def latest_issue(df: DataFrame) -> DataFrame:
 
 
 def to_records(df: DataFrame, columns: Sequence[str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
-    """One JSON text per row: ISO-8601 times, NaN as null; ``extra`` columns stand beside it."""
+    """One JSON text per row: ISO-8601 times, NaN and infinities as null; ``extra`` columns stand beside it."""
     fields = []
     for f in (df if columns is None else df.select(*columns)).schema.fields:
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
             fields.append(iso(f.name).alias(f.name))
         elif isinstance(f.dataType, (DoubleType, FloatType)):
-            fields.append(not_nan(F.col(f.name)).alias(f.name))
+            fields.append(finite(F.col(f.name)).alias(f.name))
         else:
             fields.append(F.col(f.name))
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import shift_steps
 from ..functions.errors import by_series, error_sums, overall
-from ..learners.base import Learner, forecast_filled, profile_of, scale, unscale
+from ..learners.base import Learner, forecast_filled, unscale
 from ..learners.boosted import BoostedLearner
 from ..learners.linear import LinearLearner
 from ..operators.evaluate import attach_info, join_actual_forecast, mean_info
@@ -24,7 +24,7 @@ from ..operators.splits import (
     split_info,
     trim_train,
 )
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
 from ..session import materialize
 
 
@@ -40,7 +40,7 @@ class Backtest:
 def split_forecast(
     df: DataFrame,
     fraction: float,
-    config: ModelConfig,
+    config: SeriesModel,
     learner: LinearLearner | BoostedLearner | None = None,
     keys: Sequence[str] = KEYS,
 ) -> tuple[DataFrame, DataFrame]:
@@ -49,11 +49,18 @@ def split_forecast(
     Returns forecast rows and, per series, issue time and the sizes of both parts.
     """
     keys, learner = list(keys), learner or LinearLearner()
-    filled = materialize(regular_grid(df, keys, config.resolution, fill=True), "filled")
-    profile = profile_of(filled, keys)
-    features = materialize(features_of(scale(filled, profile, keys), config, keys), "features")
+    filled = regular_grid(df, keys, config.resolution, fill=True)
+    features = materialize(features_of(filled, config, keys), "features")
     split = materialize(split_fraction(features, fraction, config, keys), "split")
-    train, test = split.where(~F.col("is_test")), split.where("is_test")
+    # Only training rows set the scale; lags and means move with the values they are made of.
+    spread = F.stddev_pop("y")
+    profile = split.where(~F.col("is_test")).groupBy(*keys).agg(
+        F.avg("y").alias("level"), F.when(spread > 0, spread).otherwise(1.0).alias("spread")
+    )
+    values = ["y", *config.lag_cols, *config.roll_cols]
+    scaled = split.join(profile, keys).withColumns({c: (F.col(c) - F.col("level")) / F.col("spread") for c in values})
+    scaled = scaled.select(*split.columns)
+    train, test = scaled.where(~F.col("is_test")), scaled.where("is_test")
     if isinstance(learner, BoostedLearner):
         predicted = learner.fit_predict(train, test, config, keys)
     else:
@@ -69,7 +76,7 @@ def split_forecast(
 def holdout_backtest(
     df: DataFrame,
     horizon: int,
-    config: ModelConfig,
+    config: SeriesModel,
     learner: Learner,
     keys: Sequence[str] = KEYS,
     max_train_steps: int | None = None,
@@ -110,7 +117,7 @@ def holdout_backtest(
 def refit_backtest(
     df: DataFrame,
     horizon: int,
-    config: ModelConfig,
+    config: SeriesModel,
     learner: Learner,
     keys: Sequence[str] = KEYS,
     min_observations: int | None = None,
@@ -146,14 +153,14 @@ def score(actual: DataFrame, forecast: DataFrame, info: DataFrame | None, keys:
 def backtest_report(
     df: DataFrame,
     horizon: int,
-    config: ModelConfig,
+    config: SeriesModel,
     learner: Learner,
     fraction: float = 0.0,
     keys: Sequence[str] = KEYS,
     max_train_steps: int | None = None,
 ) -> Backtest:
-    """Backtest by chronological split when ``fraction`` is given, else by holdout."""
-    if fraction > 0:
+    """Backtest by chronological split when ``fraction`` is given and the learner has one, else by holdout."""
+    if fraction > 0 and learner.splits:
         forecast, info = split_forecast(df, fraction, config, learner, keys)
     else:
         forecast, info = holdout_backtest(df, horizon, config, learner, keys, max_train_steps)

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import shift_steps
 from ..learners.base import Learner, forecast_filled, profile_of
 from ..operators.gridding import regular_grid
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, SeriesModel
 from ..session import materialize
 
 
 def forecast_grouped(
     df: DataFrame,
     horizon: int,
-    config: ModelConfig,
+    config: SeriesModel,
     learner: Learner,
     keys: Sequence[str] = KEYS,
     issue_time: Column | None = None,

@@ -3,24 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone as tz
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ingest import (
-    distinct_rows,
-    latest_rows,
-    region_total,
-    select_timezone_copy,
-    upsert_latest,
-    watermarks,
-)
-from ..schemas import ACTUALS, KEYS, READING
+from ..functions.columns import series_name
+from ..operators.ingest import normalize_readings, select_timezone_copy, upsert_latest, watermarks
+from ..schemas import ACTUALS
 from ..session import materialize
 from ..sources.tables import read_series, write_table
 
 _STORED = T.StructType([*ACTUALS.fields, T.StructField("month", T.StringType())])
+_READING_KEYS = ("parent", "subba", "period")
+_READINGS = T.StructType(
+    [
+        T.StructField("parent", T.StringType()),
+        T.StructField("subba", T.StringType()),
+        T.StructField("period", T.TimestampType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("pull", T.StringType()),
+        T.StructField("month", T.StringType()),
+    ]
+)
+
+
+def readings_path(path: str) -> str:
+    """Where the readings behind the actuals table at ``path`` are kept."""
+    return f"{path.rstrip('/')}_readings"
 
 
 def read_actuals(spark: SparkSession, path: str, required: bool = False) -> DataFrame:
@@ -28,19 +39,30 @@ def read_actuals(spark: SparkSession, path: str, required: bool = False) -> Data
     return read_series(spark, path, _STORED, required)
 
 
-def pull_totals(
+def latest_readings(readings: DataFrame) -> DataFrame:
+    """Per sub-area and period the distinct values of the last pull that has it (pulls ordered by name).
+
+    A sub-area has few values per period, so the sets stay small; both steps combine map-side.
+    """
+    per_pull = readings.groupBy(*_READING_KEYS, "pull").agg(F.collect_set("value").alias("values"))
+    last = per_pull.groupBy(*_READING_KEYS).agg(F.max_by(F.struct("pull", "values"), "pull").alias("last"))
+    return last.select(*_READING_KEYS, F.explode("last.values").alias("value"), F.col("last.pull").alias("pull"))
+
+
+def typed_readings(
     raw: DataFrame, regions: Sequence[str], resolution: str = "hourly", timezone: str | None = None
 ) -> DataFrame:
-    """Region totals of one or several pulls.
+    """Readings of the allowed regions with the name of their pull.
 
-    Each pull is summed by itself; where pulls (column ``pull``, ordered by name)
-    overlap, the later total replaces the earlier one.
+    A batch that names no pull is one pull, named by the time it is taken in.
     """
-    extra = ["pull"] if "pull" in raw.columns else []
-    columns = [c for c in READING.fieldNames() if c in raw.columns]
     rows = raw if timezone is None else select_timezone_copy(raw, timezone)
-    totals = region_total(distinct_rows(rows.select(*columns, *extra)), regions, resolution, extra)
-    return latest_rows(totals, [*KEYS, "period"], extra).drop(*extra) if extra else totals
+    if "pull" not in rows.columns:
+        rows = rows.withColumn("pull", F.lit(datetime.now(tz.utc).isoformat()))
+    if "subba" not in rows.columns:
+        rows = rows.withColumn("subba", F.lit(None).cast("string"))
+    clean = normalize_readings(rows.select(*_READING_KEYS, "value", "pull"), regions, resolution)
+    return clean.select(*_READING_KEYS, "value", F.coalesce("pull", F.lit("")).alias("pull"))
 
 
 def ingest_batch(
@@ -50,21 +72,42 @@ def ingest_batch(
     resolution: str = "hourly",
     timezone: str | None = None,
 ) -> None:
-    """Upsert a batch of raw readings into the actuals table at ``path``.
+    """Merge a batch of raw readings into the actuals table at ``path``.
 
-    The table is partitioned by month and only the months between the batch's first
-    and last period are read and rewritten, so the work follows the batch, not the
-    history.  Running the same batch again changes nothing.
+    Readings are kept by sub-area, so that it does not matter in how many batches a
+    pull arrives: a pull's readings add up with its earlier ones and replace those of
+    earlier pulls, and totals of the touched months are summed again.  Both tables are
+    partitioned by month, and only the months between the batch's first and last
+    period are read and rewritten, so the work follows the batch, not the history.
+    Running the same batch again changes nothing; if a job fails while it replaces
+    months, the batch has to be run again, and the stream does so.
     """
     spark = raw.sparkSession
-    fresh = materialize(pull_totals(raw, regions, resolution, timezone), "totals")
     month = F.date_format("period", "yyyy-MM")
+    fresh = materialize(typed_readings(raw, regions, resolution, timezone).distinct(), "fresh")
+    first, last = fresh.agg(F.min(month), F.max(month)).first()
+    if first is None:
+        return
+    touched = F.col("month").between(first, last)
+    kept = read_series(spark, readings_path(path), _READINGS).where(touched).drop("month")
+    merged = materialize(latest_readings(kept.unionByName(fresh)), "readings")
+    write_table(merged.withColumn("month", month).hint("rebalance", "month"), readings_path(path), ["month"])
+
+    totals = merged.groupBy(F.col("parent").alias("region"), "period").agg(F.sum("value").alias("value"))
+    totals = totals.select("region", series_name("region").alias("series"), "period", "value")
+    stored = read_actuals(spark, path).where(touched).select(*ACTUALS.fieldNames())
+    write_table(upsert_latest(stored, totals).withColumn("month", month).hint("rebalance", "month"), path, ["month"])
+
+
+def merge_totals(totals: DataFrame, path: str) -> None:
+    """Put changed totals on top of the months they belong to; the newest value of a total wins."""
+    spark, month = totals.sparkSession, F.date_format("period", "yyyy-MM")
+    fresh = materialize(totals.select(*ACTUALS.fieldNames()), "totals")
     first, last = fresh.agg(F.min(month), F.max(month)).first()
     if first is None:
         return
-    touched = read_actuals(spark, path).where(F.col("month").between(first, last))
-    merged = upsert_latest(touched.select(*ACTUALS.fieldNames()), fresh)
-    write_table(merged.withColumn("month", month).hint("rebalance", "month"), path, ["month"])
+    stored = read_actuals(spark, path).where(F.col("month").between(first, last)).select(*ACTUALS.fieldNames())
+    write_table(upsert_latest(stored, fresh).withColumn("month", month).hint("rebalance", "month"), path, ["month"])
 
 
 def table_state(spark: SparkSession, path: str, dataset: str) -> DataFrame:

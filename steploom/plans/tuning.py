@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from ..functions.errors import by_series, error_sums
 from ..learners.arima import Order, forecast_orders, order_grid
-from ..learners.base import Learner, forecast_filled, profile_of, scale, unscale
+from ..learners.base import Learner, forecast_filled, prepare, profile_of, scale, unscale
 from ..operators.buckets import positions
 from ..operators.evaluate import best_combo, combo_scores, join_actual_forecast
 from ..operators.gridding import regular_grid
 from ..operators.splits import eligible_series, split_holdout_calendar, trim_train
-from ..schemas import HYPERPARAMETERS, KEYS, MAX_TRAIN_STEPS, TREE_GRID, ForecastWindow, ModelConfig
+from ..schemas import HYPERPARAMETERS, KEYS, TREE_GRID, ForecastWindow, model_for
 from ..session import materialize, side_by_side
 
 PARAMETERS = HYPERPARAMETERS.fieldNames()
@@ -46,9 +46,7 @@ def tuning_split(
 
     Holes are filled before the split, so filled values are also scored.
     """
-    keys, config = list(keys), ModelConfig.of(window.resolution)
-    if max_train_steps is None:
-        max_train_steps = MAX_TRAIN_STEPS[window.resolution]
+    keys, config = list(keys), model_for(window.resolution)
     grid = regular_grid(df, keys, window.resolution)
     long = eligible_series(grid, window.horizon + config.min_observations + 1, keys)
     filled = regular_grid(long, keys, window.resolution, fill=True)
@@ -77,22 +75,24 @@ def grid_search(
     """Mean percentage error of each combination over all series of a window.
 
     The combinations are few and known up front; each one is a distributed job over
-    all series, and the prepared training rows are shared.
+    all series, and profiles, scaled grids and feature rows are made once for all.
     """
     keys = list(keys)
     train, held = tuning_split(df, window, keys, max_train_steps)
     train, held = materialize(train, "train"), materialize(held, "held")
+    prepared = prepare(train, model_for(window.resolution), learner, keys, store=True)
 
     def run(combo: dict) -> DataFrame:
-        config = ModelConfig.of(window.resolution, **combo)
-        steps, _ = forecast_filled(train, window.horizon, config, learner, keys)
+        config = model_for(window.resolution, {p: combo[p] for p in PARAMETERS})
+        steps, _ = forecast_filled(train, window.horizon, config, learner, keys, prepared)
         scores = score_combo(steps, held, window.horizon, keys)
         return scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()])
 
     scored = side_by_side(df.sparkSession, (partial(run, combo) for combo in grid_combos(grid)))
     results = reduce(DataFrame.unionByName, scored)
-    return combo_scores(results, ["combo_id", *PARAMETERS]).select(
-        F.lit(window.key).alias("window"), "combo_id", *PARAMETERS, "mape", "n_series"
+    measures = ["mae", "rmse", "mape", "smape"]
+    return combo_scores(results, ["combo_id", *PARAMETERS], measures).select(
+        F.lit(window.key).alias("window"), "combo_id", *PARAMETERS, *measures, "n_series"
     )
 
 
@@ -129,14 +129,14 @@ def arima_grid_search(
     df: DataFrame,
     orders: Sequence[Order] | None = None,
     horizon: int = 168,
-    max_train_steps: int = 1440,
+    max_train_steps: int | None = None,
     min_observations: int = 96,
     keys: Sequence[str] = KEYS,
     resolution: str = "hourly",
 ) -> DataFrame:
     """Mean errors and criteria of each order over all series, from one shared fit."""
     keys, orders = list(keys), list(orders or order_grid())
-    config = ModelConfig.of(resolution)
+    config = model_for(resolution)
     split = split_holdout_calendar(regular_grid(df, keys, resolution), horizon, keys, resolution)
     split = materialize(split, "split")
     train = trim_train(split.where(~F.col("is_test")), max_train_steps, keys, resolution)

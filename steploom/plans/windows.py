@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..learners.base import Learner
-from ..schemas import TEST_FRACTION, WINDOWS, ForecastWindow, ModelConfig, window
+from ..schemas import TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
 from ..session import materialize, side_by_side
 from ..sources.tables import read_best_params, write_best_params, write_table
 from .backtesting import backtest_report
@@ -22,7 +22,7 @@ def resolve_windows(keys: Sequence[str] | None = None) -> list[ForecastWindow]:
     return [window(k) for k in keys] if keys else list(WINDOWS.values())
 
 
-def config_for(spark, params_path: str | None, target: ForecastWindow) -> ModelConfig | None:
+def config_for(spark, params_path: str | None, target: ForecastWindow) -> SeriesModel | None:
     """Settings of a window from its stored winner; None when it was never tuned."""
     if params_path is None:
         return None
@@ -30,7 +30,7 @@ def config_for(spark, params_path: str | None, target: ForecastWindow) -> ModelC
     if not stored:
         return None
     params = {k: v for k, v in stored[0]["params"].asDict().items() if v is not None}
-    return ModelConfig.of(target.resolution, **params)
+    return model_for(target.resolution, params)
 
 
 def tune_windows(
@@ -54,7 +54,7 @@ def run_windows(
     tune_if_missing: bool = False,
     fraction: float = TEST_FRACTION,
     grid: dict[str, list] | None = None,
-    configure: Callable[[ForecastWindow], ModelConfig] | None = None,
+    configure: Callable[[ForecastWindow], SeriesModel] | None = None,
 ) -> dict[str, DataFrame]:
     """Forecast and backtest every window from the table of its resolution.
 
@@ -73,7 +73,7 @@ def run_windows(
             tune_windows(tables, learner, params_path, [target.key], grid)
             config = config_for(actual.sparkSession, params_path, target)
         if config is None:
-            config = configure(target) if configure else ModelConfig.of(target.resolution)
+            config = configure(target) if configure else model_for(target.resolution)
         ahead = forecast_grouped(actual, target.horizon, config, learner)
         report = backtest_report(actual, target.horizon, config, learner, fraction)
         found = {

@@ -9,6 +9,7 @@ from ..operators import ingest, views
 from ..schemas import HISTORY_START, KEYS, TIMEZONES
 from .data import (
     DAILY_REGIONS,
+    EVERY_DAILY_REGION,
     HOURLY_REGIONS,
     actuals,
     daily_readings,
@@ -71,7 +72,7 @@ def select_timezone_copy(spark, sf_dir):
     """Daily readings once per timezone; one copy gives the right totals."""
     labels = F.array(*[F.lit(z) for z in TIMEZONES])
     copies = daily_readings(spark, sf_dir).withColumn("timezone", F.explode(labels))
-    return ingest.region_total(ingest.select_timezone_copy(copies, "Eastern"), DAILY_REGIONS, "daily")
+    return ingest.region_total(ingest.select_timezone_copy(copies, "Eastern"), EVERY_DAILY_REGION, "daily")
 
 
 @query(
@@ -135,13 +136,13 @@ def series_name(spark, sf_dir):
     )
 
 
-@query(with_views("SELECT * FROM hourly", "hourly"), ["period"], ["value"])
+@query(with_views("SELECT * FROM hourly_allowed", "hourly_allowed"), ["period"], ["value"])
 def region_total(spark, sf_dir):
     """Raw text readings to hourly region totals."""
     return ingest.region_total(raw_readings(spark, sf_dir), HOURLY_REGIONS)
 
 
-@query(with_views("SELECT * FROM daily", "daily"), ["period"], ["value"], digits=2)
+@query(with_views("SELECT * FROM daily_allowed", "daily_allowed"), ["period"], ["value"], digits=2)
 def region_total_daily(spark, sf_dir):
     return ingest.region_total(daily_readings(spark, sf_dir), DAILY_REGIONS, "daily")
 

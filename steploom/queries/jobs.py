@@ -15,7 +15,7 @@ from ..operators.evaluate import best_combo
 from ..operators.features import feature_matrix
 from ..operators.gridding import regular_grid
 from ..plans import backtesting, forecasting, tuning, windows
-from ..schemas import KEYS, ModelConfig, window
+from ..schemas import KEYS, TREE_GRID, model_for, window
 from ..session import materialize
 from .data import actuals, shipments
 from .registry import query
@@ -24,9 +24,9 @@ from .series import user_series
 from .sql import metrics, naive_forecast, with_views
 
 ERRORS = ["mae", "rmse", "mape", "smape"]
-HOURLY, DAILY = ModelConfig.of("hourly"), ModelConfig.of("daily")
-ONE_LAG = ModelConfig.of("hourly", lags=(24,), roll_windows=(), calendar=False, ridge=0.0)
-LAST_STEP = ModelConfig.of("hourly", lags=(1,), roll_windows=(), calendar=False, ridge=0.0)
+HOURLY, DAILY = model_for("hourly"), model_for("daily")
+ONE_LAG = model_for("hourly", lags=(24,), roll_windows=(), calendar=False, ridge=0.0)
+LAST_STEP = model_for("hourly", lags=(1,), roll_windows=(), calendar=False, ridge=0.0)
 SMALL_TREES = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
 
 
@@ -50,7 +50,7 @@ def persistence(spark, sf_dir):
 @query()
 def fit_boosted(spark, sf_dir):
     """One boosted model on the daily feature rows and its fit to them."""
-    config = ModelConfig.of("daily", **SMALL_TREES)
+    config = model_for("daily", SMALL_TREES)
     rows = materialize(feature_matrix(actuals(spark, sf_dir, "daily"), config), "features")
     fitted = BoostedLearner().fit(rows, config).transform(rows)
     return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
@@ -85,7 +85,7 @@ def split_forecast_linear(spark, sf_dir):
 
 @query()
 def split_forecast_boosted(spark, sf_dir):
-    config = ModelConfig.of("hourly", **SMALL_TREES)
+    config = model_for("hourly", SMALL_TREES)
     return backtesting.split_forecast(actuals(spark, sf_dir), 0.2, config, BoostedLearner())[0]
 
 
@@ -135,10 +135,56 @@ def forecast_grouped_linear(spark, sf_dir):
 
 @query()
 def forecast_grouped_boosted(spark, sf_dir):
-    config = ModelConfig.of("daily", **SMALL_TREES)
+    config = model_for("daily", SMALL_TREES)
     return forecasting.forecast_grouped(actuals(spark, sf_dir, "daily"), 90, config, BoostedLearner())
 
 
+#: Differences only: no coefficients, so every step repeats the last season's change.
+PLAIN_ORDER = arima.Order(p=0, q=0, P=0, Q=0)
+PLAIN_DAILY = arima.Order(p=0, q=0, P=0, Q=0, season=7)
+
+
+def _plain_path(filled: str, horizon: int, unit: str = "HOUR", season: int = 24) -> str:
+    return f"""SELECT p.region, p.series, p.origin, p.step_no, p.target_time,
+                      p.yhat + ceil(p.step_no / {season}.0) * (l.value - b.value) AS yhat
+               FROM ({naive_forecast(filled, unit, season, horizon)}) AS p
+               JOIN {filled} AS l ON l.region = p.region AND l.series = p.series AND l.period = p.origin
+               JOIN {filled} AS b ON b.region = p.region AND b.series = p.series AND b.period = p.origin - INTERVAL {season} {unit}"""
+
+
+@query(
+    with_views(f"SELECT region, series, origin AS issue_time, target_time, yhat FROM ({_plain_path('hfilled', 168)})", "hfilled"),
+    ["issue_time", "target_time"],
+    ["yhat"],
+    digits=4,
+)
+def seasonal_arima_differences(spark, sf_dir):
+    learner = arima.ArimaLearner(PLAIN_ORDER)
+    return forecasting.forecast_grouped(actuals(spark, sf_dir), 168, HOURLY, learner)
+
+
+@query(
+    f"""WITH s AS (SELECT l_returnflag AS region, l_returnflag || ' ' || l_linestatus AS series,
+                          CAST(l_shipdate AS TIMESTAMP) AS period, sum(l_extendedprice) AS value FROM lineitem GROUP BY ALL),
+             ends AS (SELECT region, series, max(period) AS last FROM s GROUP BY ALL),
+             dfilled AS (SELECT region, series, period, value FROM s JOIN ends USING (region, series)
+                         WHERE period <= last - INTERVAL 28 DAY),
+             path AS ({_plain_path('dfilled', 28, 'DAY', 7)}),
+             scored AS (SELECT {metrics('region, series', empty='NULL')}
+                        FROM (SELECT s.region, s.series, s.value, p.yhat FROM path AS p JOIN s
+                                ON s.region = p.region AND s.series = p.series AND s.period = p.target_time)
+                        GROUP BY region, series)
+        SELECT '{PLAIN_DAILY.label}' AS params, {", ".join(f"avg({e}) AS {e}" for e in ERRORS)}, count(*) AS n_series
+        FROM scored WHERE n = 28""",
+    doubles=ERRORS,
+    digits=3,
+)
+def arima_grid_search_differences(spark, sf_dir):
+    """The search with the order that SQL can repeat, on dense daily shipments."""
+    results = tuning.arima_grid_search(shipments(spark, sf_dir), [PLAIN_DAILY], horizon=28, resolution="daily")
+    return results.select("params", *ERRORS, "n_series")
+
+
 @query()
 def seasonal_arima(spark, sf_dir):
     return forecasting.forecast_grouped(actuals(spark, sf_dir), 168, HOURLY, arima.ArimaLearner())
@@ -224,7 +270,8 @@ def refit_backtest_arima(spark, sf_dir):
     return backtesting.refit_backtest(actuals(spark, sf_dir), 48, HOURLY, arima.ArimaLearner()).overall
 
 
-_TUNING_GRID = {
+#: A grid whose trees fit in seconds; the default grid trains 300 and 600 trees.
+_SMALL_GRID = {
     "n_estimators": [4, 8],
     "max_depth": [3],
     "learning_rate": [0.3],
@@ -234,8 +281,19 @@ _TUNING_GRID = {
 }
 
 
-def _tuning_sql(horizon: int, minimum: int, season: int) -> str:
-    combos = ", ".join(f"({c['combo_id']}, {c['n_estimators']}, {c['min_child_weight']})" for c in tuning.grid_combos(_TUNING_GRID))
+class DepthSeason(SeasonalNaive):
+    """Repeats as many last steps as ``max_depth`` says, so that a parameter changes the forecast."""
+
+    def season(self, config):
+        return config.trees.max_depth
+
+
+def _tuning_sql(horizon: int, minimum: int) -> str:
+    fields = ("combo_id", "n_estimators", "max_depth", "learning_rate", "min_child_weight")
+    combos = ", ".join("(" + ", ".join(str(c[f]) for f in fields) + ")" for c in tuning.grid_combos())
+    paths = " UNION ALL ".join(
+        f"SELECT {d} AS max_depth, * FROM ({naive_forecast('trained', 'DAY', d, horizon)})" for d in TREE_GRID["max_depth"]
+    )
     return f"""
     , long AS (SELECT region, series FROM daily GROUP BY region, series HAVING count(value) > {horizon} + {minimum}),
     placed AS (SELECT f.*, row_number() OVER (PARTITION BY region, series ORDER BY period) AS pos,
@@ -243,24 +301,25 @@ def _tuning_sql(horizon: int, minimum: int, season: int) -> str:
                FROM dfilled AS f SEMI JOIN long USING (region, series)),
     trained AS (SELECT region, series, period, value FROM placed WHERE pos <= n - {horizon}),
     held AS (SELECT region, series, value, pos - n + {horizon} AS step_no FROM placed WHERE pos > n - {horizon}),
-    paths AS ({naive_forecast('trained', 'DAY', season, horizon)}),
-    scored AS (SELECT region, series, 100 * avg(abs(value - yhat) / abs(value)) FILTER (value <> 0) AS mape
-               FROM held JOIN paths USING (region, series, step_no) GROUP BY region, series)
-    SELECT '3mo' AS "window", combo_id, n_estimators, min_child_weight, avg(mape) AS mape, count(*) AS n_series
-    FROM scored, (VALUES {combos}) AS c(combo_id, n_estimators, min_child_weight)
-    GROUP BY combo_id, n_estimators, min_child_weight"""
+    paths AS ({paths}),
+    scored AS (SELECT {metrics('max_depth, region, series', empty='NULL')}
+               FROM held JOIN paths USING (region, series, step_no) GROUP BY max_depth, region, series)
+    SELECT '3mo' AS "window", {", ".join(f"c.{f}" for f in fields if f != "learning_rate")}, CAST(c.learning_rate AS DOUBLE) AS learning_rate,
+           {", ".join(f"avg({e}) AS {e}" for e in ERRORS)}, count(*) AS n_series
+    FROM scored AS s JOIN (VALUES {combos}) AS c({", ".join(fields)}) ON s.max_depth = c.max_depth
+    GROUP BY {", ".join(f"c.{f}" for f in fields)}"""
 
 
-@query(with_views(_tuning_sql(90, 60, 7), "daily", "dfilled").replace("\n, long", ",\nlong"), doubles=["mape"])
+@query(with_views(_tuning_sql(90, 60), "daily", "dfilled").replace("\n, long", ",\nlong"), doubles=[*ERRORS, "learning_rate"])
 def grid_search(spark, sf_dir):
-    """The search itself, with a learner whose forecasts SQL can repeat."""
-    results = tuning.grid_search(actuals(spark, sf_dir, "daily"), window("3mo"), SeasonalNaive(), _TUNING_GRID)
-    return results.select("window", "combo_id", "n_estimators", "min_child_weight", "mape", "n_series")
+    """The search over the whole default grid, with a learner whose forecasts SQL can repeat."""
+    results = tuning.grid_search(actuals(spark, sf_dir, "daily"), window("3mo"), DepthSeason())
+    return results.drop("subsample", "colsample_bytree")
 
 
 @query()
 def grid_search_boosted(spark, sf_dir):
-    results = tuning.grid_search(actuals(spark, sf_dir), window("7d"), BoostedLearner(), _TUNING_GRID)
+    results = tuning.grid_search(actuals(spark, sf_dir), window("7d"), BoostedLearner(), _SMALL_GRID)
     return best_combo(results)
 
 
@@ -321,6 +380,30 @@ def run_windows(spark, sf_dir):
     return results["metrics"].select("window", *KEYS, *ERRORS, "n")
 
 
+_one_lag_parts = _ONE_LAG_SQL.rsplit("SELECT region, series, issue_time", 1)
+
+
+@query(
+    with_views(
+        f"""{_one_lag_parts[0].rstrip()},
+            ahead AS (SELECT region, series, issue_time{_one_lag_parts[1]})
+            SELECT '7d' AS "window", {metrics('region, series')}
+            FROM (SELECT h.region, h.series, h.value, a.yhat FROM ahead AS a JOIN hourly AS h
+                    ON h.region = a.region AND h.series = a.series AND h.period = a.target_time)
+            GROUP BY region, series""",
+        "hourly",
+        "hfilled",
+    ).replace("\n, pairs", ",\npairs"),
+    doubles=ERRORS,
+    digits=3,
+)
+def run_windows_split(spark, sf_dir):
+    """The job with its default split, for a learner that has one."""
+    tables = {"hourly": actuals(spark, sf_dir)}
+    results = windows.run_windows(tables, LinearLearner(), ["7d"], configure=lambda _: ONE_LAG)
+    return results["metrics"].select("window", *KEYS, *ERRORS, "n")
+
+
 @query(
     with_views(
         """SELECT region, series, period, value,

@@ -8,7 +8,7 @@ from ..learners.seasonal import SeasonalNaive
 from ..operators import evaluate, views
 from ..operators.gridding import regular_grid
 from ..plans.backtesting import holdout_backtest
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, model_for
 from ..session import fresh_path
 from ..sources import tables
 from .data import actuals, forecasts
@@ -90,7 +90,7 @@ def actual_forecast_frame(spark, sf_dir):
 
 
 def _backtest(spark, sf_dir):
-    forecast, _ = holdout_backtest(actuals(spark, sf_dir), 168, ModelConfig.of("hourly"), SeasonalNaive())
+    forecast, _ = holdout_backtest(actuals(spark, sf_dir), 168, model_for("hourly"), SeasonalNaive())
     return forecast
 
 

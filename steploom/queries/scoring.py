@@ -9,7 +9,7 @@ from ..operators.views import region_list as sorted_regions
 from ..plans.backtesting import overlap_evaluation as score_overlap
 from ..plans.tuning import grid_combos
 from ..plans.tuning import series_x_params as cross_params
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, TreeSettings
 from ..schemas import window_registry as registry
 from .data import actuals, forecasts, hourly_actuals, season_scores
 from .registry import query
@@ -124,7 +124,7 @@ def series_x_params(spark, sf_dir):
     return cross_params(series, grid_combos())
 
 
-_DEFAULTS = ModelConfig()
+_DEFAULTS = TreeSettings()
 
 
 @query(
@@ -200,13 +200,14 @@ def window_registry(spark, sf_dir):
     sizes = None
     for resolution in ("hourly", "daily"):
         counts = actuals(spark, sf_dir, resolution).groupBy(*KEYS).agg(F.count("value").alias("_n"))
-        counts = counts.select(F.lit(resolution).alias("resolution"), "_n")
+        counts = counts.groupBy("_n").agg(F.count(F.lit(1)).alias("_series"))
+        counts = counts.select(F.lit(resolution).alias("resolution"), "_n", "_series")
         sizes = counts if sizes is None else sizes.unionByName(counts)
     windows = registry(spark)
     return (
         windows.join(sizes, "resolution", "left")
         .groupBy(*windows.columns)
-        .agg(F.count(F.when(F.col("_n") > F.col("horizon"), 1)).alias("series_long_enough"))
+        .agg(F.coalesce(F.sum(F.when(F.col("_n") > F.col("horizon"), F.col("_series"))), F.lit(0)).alias("series_long_enough"))
     )
 
 

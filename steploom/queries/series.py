@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..operators import features, gridding, splits
-from ..schemas import KEYS, ModelConfig
+from ..schemas import KEYS, model_for
 from .data import actuals, forecasts, hourly_actuals
 from .registry import query
 from .sql import (
@@ -19,7 +19,7 @@ from .sql import (
     with_views,
 )
 
-HOURLY, DAILY = ModelConfig.of("hourly"), ModelConfig.of("daily")
+HOURLY, DAILY = model_for("hourly"), model_for("daily")
 _LAG = {"hourly": [f"lag_{k}" for k in HOURLY_LAGS], "daily": [f"lag_{k}" for k in DAILY_LAGS]}
 _ROLL = {"hourly": [f"rollmean_{w}" for w in HOURLY_ROLLS], "daily": [f"rollmean_{w}" for w in DAILY_ROLLS]}
 _WAVES_HOURLY = ["hour_sin", "hour_cos", "dow_sin", "dow_cos"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .data import DAILY_REGIONS, HOURLY_REGIONS
+from .data import DAILY_REGIONS, EVERY_DAILY_REGION, EVERY_HOURLY_REGION, HOURLY_REGIONS
 
 
 def _names(values) -> str:
@@ -129,8 +129,9 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "hourly": (
         ("readings",),
         f"""SELECT parent AS region, parent || ' total' AS series, period, round(sum(value), 2) AS value
-            FROM readings WHERE parent IN ({_names(HOURLY_REGIONS)}) GROUP BY parent, period""",
+            FROM readings WHERE parent IN ({_names(EVERY_HOURLY_REGION)}) GROUP BY parent, period""",
     ),
+    "hourly_allowed": (("hourly",), f"SELECT * FROM hourly WHERE region IN ({_names(HOURLY_REGIONS)})"),
     "dreadings": (
         (),
         """SELECT upper(r_name) AS parent, n_name AS subba, o_orderdate AS period, o_totalprice AS value
@@ -140,8 +141,9 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "daily": (
         ("dreadings",),
         f"""SELECT parent AS region, parent || ' total' AS series, period, round(sum(value), 2) AS value
-            FROM dreadings WHERE parent IN ({_names(DAILY_REGIONS)}) GROUP BY parent, period""",
+            FROM dreadings WHERE parent IN ({_names(EVERY_DAILY_REGION)}) GROUP BY parent, period""",
     ),
+    "daily_allowed": (("daily",), f"SELECT * FROM daily WHERE region IN ({_names(DAILY_REGIONS)})"),
     "hgrid": (("hourly",), _grid("hourly", "HOUR")),
     "dgrid": (("daily",), _grid("daily", "DAY")),
     "hfilled": (("hgrid",), _filled("hgrid")),

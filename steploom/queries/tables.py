@@ -97,7 +97,7 @@ def best_documents(spark, sf_dir):
     """Best-params documents of two windows from the season scores."""
     results = combo_scores(season_scores(spark, sf_dir), ["window", "combo_id"])
     best = best_combo(results)
-    combos = grid_combos()[:4]
+    combos = grid_combos()
     params = spark.createDataFrame([tuple(c.values()) for c in combos], ["combo_id", *PARAMETERS])
     windows = spark.createDataFrame(
         [(w.key, w.resolution, w.horizon) for w in WINDOWS.values()], "window string, resolution string, horizon int"
@@ -121,7 +121,7 @@ def best_documents(spark, sf_dir):
 
 COMBO_VALUES = ", ".join(
     f"({c['combo_id']}, {c['n_estimators']}, {c['max_depth']}, {c['learning_rate']}, {c['min_child_weight']})"
-    for c in grid_combos()[:4]
+    for c in grid_combos()
 )
 WINDOW_VALUES = ", ".join(f"('{w.key}', '{w.resolution}', {w.horizon})" for w in WINDOWS.values())
 BEST = f"""best AS (
@@ -181,7 +181,7 @@ def _report_text(sums):
         "day",
         F.concat_ws(
             "\n",
-            F.lit("Backtest metrics (load)\nHoldout hours: 24\n\nOverall metrics\n   mae   rmse   mape   smape   n"),
+            F.lit("Errors of one day\n\nOverall metrics\n   mae   rmse   mape   smape   n"),
             head,
             F.lit("\nPer-series metrics\nregion  series  n  mae  rmse  mape  smape"),
             F.concat_ws("\n", "lines"),

@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import as_time, series_name
-from ..operators.ingest import latest_rows, normalize_readings
-from ..plans.ingest import ingest_batch
-from ..schemas import KEYS, LANDED_PAGE
+from ..operators.ingest import normalize_readings
+from ..plans.ingest import ingest_batch, merge_totals, read_actuals
+from ..schemas import ACTUALS, BACKFILL_HOURS, LANDED_PAGE
 from ..sources.pages import flatten_pages
 
 _PAGES = T.StructType([*LANDED_PAGE.fields, T.StructField("pull", T.StringType())])
@@ -31,7 +31,8 @@ def stream_ingest(
     """Merge newly landed pages (``pull=<name>`` folders) into the actuals table and stop.
 
     The checkpoint remembers the files taken in; a batch repeated after a failure
-    writes the same rows again.  A pull has to land whole before the query starts.
+    writes the same rows again.  A pull may land in any number of files, batches and
+    runs, and ``max_files`` only sets how much a batch takes in.
     """
     reader = spark.readStream.schema(_PAGES)
     if max_files is not None:
@@ -49,19 +50,25 @@ def stream_ingest(
     )
 
 
+def default_lateness(resolution: str) -> str:
+    """How long readings are revised: the safety window that pulls go back by."""
+    return f"{BACKFILL_HOURS[resolution]} hours"
+
+
 def stream_region_totals(
-    readings: DataFrame, regions: Sequence[str], resolution: str = "hourly", lateness: str = "24 hours"
+    readings: DataFrame, regions: Sequence[str], resolution: str = "hourly", lateness: str | None = None
 ) -> DataFrame:
     """Running totals per region and hour or day.
 
     A late reading revises its total while it is less than ``lateness`` behind the
-    newest one and is dropped after that, which also lets the state be cleared.
+    newest one (by default the resolution's safety window) and is dropped after that,
+    which also lets the state be cleared.
     """
     typed = readings.withColumn("period", as_time(readings, "period", resolution))
     clean = normalize_readings(typed, regions, resolution)
     slot = F.window("period", "1 day" if resolution == "daily" else "1 hour")
     totals = (
-        clean.withWatermark("period", lateness)
+        clean.withWatermark("period", lateness or default_lateness(resolution))
         .groupBy(F.col("parent").alias("region"), slot.alias("slot"))
         .agg(F.sum("value").alias("value"))
     )
@@ -70,16 +77,22 @@ def stream_region_totals(
     )
 
 
-def stream_dedup(readings: DataFrame, keys: Sequence[str], lateness: str = "24 hours") -> DataFrame:
+def stream_dedup(
+    readings: DataFrame, keys: Sequence[str], resolution: str = "hourly", lateness: str | None = None
+) -> DataFrame:
     """Drop repeated deliveries of a reading that arrive within ``lateness``."""
-    return readings.withWatermark("period", lateness).dropDuplicatesWithinWatermark(list(keys))
+    late = lateness or default_lateness(resolution)
+    return readings.withWatermark("period", late).dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_revisions(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append every changed total with its batch number; a repeated batch replaces itself."""
+    """Merge every changed total into a table by month; a repeated batch changes nothing.
+
+    A batch carries whole totals, so the table holds one row per total however often it was revised.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        merge_totals(batch, path)
 
     return (
         totals.writeStream.foreachBatch(store)
@@ -92,4 +105,4 @@ def write_revisions(totals: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 def current_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest revision of every total."""
-    return latest_rows(spark.read.parquet(path), [*KEYS, "period"], ["batch_id"]).drop("batch_id")
+    return read_actuals(spark, path).select(*ACTUALS.fieldNames())

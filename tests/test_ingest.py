@@ -141,3 +141,9 @@ def test_trim_history_uses_one_global_cutoff(series):
     }
     with pytest.raises(ValueError):
         ingest.trim_history(rows)
+
+
+def test_rows_without_a_key_count_overall(spark):
+    rows = [("A", "A total", datetime(2026, 1, 1), 1.0), (None, None, datetime(2026, 2, 1), 1.0)]
+    marks = {r.partition_key: r.max_period for r in ingest.watermarks(spark.createDataFrame(rows, ACTUALS), "load").collect()}
+    assert marks == {"A|A total": datetime(2026, 1, 1), None: datetime(2026, 2, 1)}

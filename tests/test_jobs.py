@@ -12,10 +12,10 @@ from steploom.plans.backtesting import backtest_report, holdout_backtest, overla
 from steploom.plans.forecasting import forecast_grouped
 from steploom.plans.tuning import arima_grid_search, best_params, grid_combos, grid_search, series_x_params
 from steploom.plans.windows import config_for, resolve_windows, run_windows, tune_windows, write_windows
-from steploom.schemas import WINDOWS, ForecastWindow, ModelConfig, window, window_registry
+from steploom.schemas import WINDOWS, ForecastWindow, model_for, window, window_registry
 from steploom.sources.tables import read_best_params, read_series
 
-HOURLY = ModelConfig.of("hourly")
+HOURLY = model_for("hourly")
 TINY = {
     "n_estimators": [2, 3], "max_depth": [2], "learning_rate": [0.3],
     "subsample": [1.0], "colsample_bytree": [1.0], "min_child_weight": [1],
@@ -57,7 +57,7 @@ def test_too_little_history_gives_empty_results(series):
 
 @pytest.mark.parametrize("learner", [LinearLearner(), BoostedLearner("series")])
 def test_split_backtest(series, learner):
-    config = ModelConfig.of("hourly", n_estimators=3, max_depth=3)
+    config = model_for("hourly", {"n_estimators": 3, "max_depth": 3})
     report = backtest_report(series(A=sine(400), B=sine(300, 3)), 168, config, learner, fraction=0.2)
     got = {r.region: (r.n, r.train_rows, r.test_rows) for r in report.by_series.collect()}
     assert got == {"A": (46, 186, 46), "B": (26, 106, 26)}
@@ -123,6 +123,22 @@ def test_tuned_parameters_reach_the_job(spark, series, tmp_path):
     assert config_for(spark, path, window("7d")) is None
     tune_windows({"hourly": rows}, BoostedLearner(), path, ["7d"], TINY)
     config = config_for(spark, path, window("7d"))
-    assert config.n_estimators in (2, 3) and config.learning_rate == 0.3 and config.resolution == "hourly"
+    assert config.trees.n_estimators in (2, 3) and config.trees.learning_rate == 0.3 and config.resolution == "hourly"
     assert config_for(spark, path, window("14d")) is None
     assert read_best_params(spark, path).count() == 1
+
+
+@pytest.mark.parametrize("learner", [SeasonalNaive(), ArimaLearner()])
+def test_windows_run_with_defaults_for_learners_without_a_split(series, learner):
+    results = run_windows({"hourly": series(A=sine(500))}, learner, ["7d"])
+    assert results["forecast"].count() == 168 and results["overall"].first().n == 168
+
+
+def test_split_scale_ignores_test_rows(series):
+    """What happens after the split does not change the predictions' inputs from before it."""
+    model = model_for("hourly", lags=(1,), roll_windows=(), calendar=False, ridge=5.0)
+    y = sine(300)
+    a, _ = split_forecast(series(A=y), 0.2, model)
+    b, _ = split_forecast(series(A=[*y[:299], 1e6]), 0.2, model)
+    first = lambda df: df.orderBy("target_time").first().yhat
+    assert abs(first(a) - first(b)) < 1e-9

@@ -13,11 +13,11 @@ from steploom.learners.linear import LinearLearner
 from steploom.learners.seasonal import SeasonalNaive
 from steploom.operators.features import feature_matrix
 from steploom.plans.forecasting import forecast_grouped
-from steploom.schemas import ModelConfig
+from steploom.schemas import model_for
 
 KEYS = ["region", "series"]
-HOURLY = ModelConfig.of("hourly")
-SMALL = ModelConfig.of("hourly", n_estimators=4, max_depth=3, learning_rate=0.3)
+HOURLY = model_for("hourly")
+SMALL = model_for("hourly", {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3})
 
 
 def seasonal(n, noise=0.0, seed=3):
@@ -29,7 +29,7 @@ def seasonal(n, noise=0.0, seed=3):
 
 
 def test_linear_fit_equals_least_squares(series):
-    config = ModelConfig.of("hourly", lags=(1, 2, 24), roll_windows=(24,), ridge=0.0)
+    config = model_for("hourly", lags=(1, 2, 24), roll_windows=(24,), ridge=0.0)
     rows = feature_matrix(series(A=seasonal(300, 3.0), B=seasonal(300, 2.0, 9)), config)
     model = LinearLearner().fit(rows, config)
     got = LinearLearner().predict(rows, model, config).toPandas()
@@ -40,7 +40,7 @@ def test_linear_fit_equals_least_squares(series):
 
 
 def test_linear_recursion_feeds_on_itself(series):
-    config = ModelConfig.of("hourly", lags=(1, 2), roll_windows=(3,), calendar=False, ridge=0.0)
+    config = model_for("hourly", lags=(1, 2), roll_windows=(3,), calendar=False, ridge=0.0)
     y = seasonal(150, 4.0)
     got = [r.yhat for r in forecast_grouped(series(A=y), 12, config, LinearLearner()).orderBy("target_time").collect()]
     rows = [(y[i], y[i - 1], y[i - 2], sum(y[i - 3 : i]) / 3) for i in range(3, len(y))]
@@ -80,7 +80,7 @@ def test_daily_steps(series):
     values = [
         200000 + 30000 * math.sin(2 * math.pi * i / 7) + 50000 * math.sin(2 * math.pi * i / 365) for i in range(500)
     ]
-    config = ModelConfig.of("daily")
+    config = model_for("daily")
     assert config.lags == (1, 2, 3, 7, 14, 28, 365)
     out = forecast_grouped(series(start="2024-01-01", step_hours=24, A=values), 30, config, LinearLearner()).toPandas()
     assert len(out) == 30
@@ -101,10 +101,11 @@ def test_tree_walk_equals_the_model(spark, series):
     np.testing.assert_allclose(walk(trees, want[SMALL.feature_cols].to_numpy(dtype=float)), want["z"], rtol=1e-12)
 
 
-def test_series_scope_is_bounded(series, monkeypatch):
-    monkeypatch.setattr(BoostedLearner, "MAX_SERIES", 1)
-    with pytest.raises(ValueError):
-        forecast_grouped(series(A=seasonal(300), B=seasonal(300)), 3, SMALL, BoostedLearner("series"))
+def test_series_scope_fits_each_series_by_itself(series):
+    both = forecast_grouped(series(A=seasonal(300), B=[2 * v for v in seasonal(300)]), 3, SMALL, BoostedLearner("series"))
+    alone = forecast_grouped(series(B=[2 * v for v in seasonal(300)]), 3, SMALL, BoostedLearner("series"))
+    rows = lambda df: sorted((r.target_time, round(r.yhat, 6)) for r in df.where("region = 'B'").collect())
+    assert rows(both) == rows(alone) and both.count() == 6
 
 
 def brute_arima(y, order, horizon, long=48):

@@ -8,10 +8,10 @@ from steploom.operators.buckets import positions
 from steploom.operators.features import feature_matrix, lookback_features
 from steploom.operators.gridding import regular_grid
 from steploom.operators.ingest import dedup_periods, region_total
-from steploom.schemas import ModelConfig
+from steploom.schemas import model_for
 from steploom.session import materialize
 
-HOURLY = ModelConfig.of("hourly")
+HOURLY = model_for("hourly")
 
 
 def plan_of(df):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from steploom.operators.buckets import positions
-from steploom.operators.features import feature_matrix, lookback_features
+from steploom.operators.features import feature_matrix, lag_features, lookback_features
 from steploom.operators.gridding import fill_gaps, regular_grid
 from steploom.operators.splits import (
     eligible_series,
@@ -19,7 +19,7 @@ from steploom.operators.splits import (
     split_info,
     trim_train,
 )
-from steploom.schemas import ACTUALS, ModelConfig
+from steploom.schemas import ACTUALS, model_for
 
 HOUR = 3_600_000_000
 
@@ -128,9 +128,11 @@ def test_rolling_mean_needs_every_value(holey):
         )
 
 
-def test_halo_longer_than_bucket_is_an_error(holey):
-    with pytest.raises(ValueError):
-        lookback_features(holey, (48,), (), width=24)
+def test_buckets_grow_with_the_halo(holey):
+    narrow = lookback_features(regular_grid(holey, fill=True), [9], [], width=4)
+    wide = lookback_features(regular_grid(holey, fill=True), [9], [], width=4096)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(narrow) == rows(wide)
 
 
 @pytest.mark.parametrize("width", [5, 4096])
@@ -144,10 +146,10 @@ def test_positions_match_row_numbers(holey, width):
 
 def test_feature_columns(series):
     daily = series(step_hours=24, R=[float(i) for i in range(420)])
-    config = ModelConfig.of("daily")
+    config = model_for("daily")
     rows = feature_matrix(daily, config)
     assert rows.columns == ["region", "series", "period", "y", *config.feature_cols]
-    assert len(config.feature_cols) == 19 and len(ModelConfig.of("hourly").feature_cols) == 17
+    assert len(config.feature_cols) == 19 and len(model_for("hourly").feature_cols) == 17
     assert rows.count() == 420 - 365
     first = rows.orderBy("period").first()
     assert (first.lag_365, first.lag_1, first.rollmean_7) == (0.0, 364.0, 361.0)
@@ -156,7 +158,7 @@ def test_feature_columns(series):
 @pytest.mark.parametrize("n,fraction,expected", [(125, 0.2, 25), (130, 0.25, 32), (134, 0.25, 34), (99, 0.2, None), (100, 0.001, None)])
 def test_split_rounds_half_to_even(series, n, fraction, expected):
     rows = series(R=[float(i) for i in range(n)]).withColumnRenamed("value", "y")
-    config = ModelConfig.of("hourly", min_observations=100)
+    config = model_for("hourly", min_observations=100)
     split = split_fraction(rows, fraction, config)
     info = split_info(split).collect()
     if expected is None:
@@ -200,3 +202,9 @@ def test_future_grid_steps(spark):
     rows = future_grid(origins, 3, "daily").orderBy("step_no").collect()
     assert [r.target_time for r in rows] == [datetime(2026, 2, d) for d in (1, 2, 3)]
     assert {r.issue_time for r in rows} == {datetime(2026, 1, 31)}
+
+
+def test_lags_longer_than_a_bucket(series):
+    rows = lag_features(series(A=list(map(float, range(9000)))), [8760]).where("lag_8760 IS NOT NULL")
+    assert [(r.value, r.lag_8760) for r in rows.orderBy("period").limit(2).collect()] == [(8760.0, 0.0), (8761.0, 1.0)]
+    assert rows.count() == 240

@@ -65,6 +65,26 @@ def test_overlapping_pulls_in_one_batch_are_not_added_up(spark, tmp_path):
     assert content(read_actuals(spark, path)) == EXPECTED
 
 
+def test_a_pull_may_arrive_in_parts(spark, tmp_path):
+    """Totals do not depend on how the files of a pull fall into batches and runs."""
+    rows = [("CISO", "A", "2026-01-01T00", "10"), ("CISO", "B", "2026-01-01T00", "15")]
+    for case, options in (("runs", {}), ("files", {"max_files": 1})):
+        landing, path, checkpoint = (str(tmp_path / case / n) for n in ("landing", "load", "checkpoint"))
+        for row in rows:
+            land_pages(pull(spark, "pull-1", [row]), "pull").write.mode("append").partitionBy("pull").json(landing)
+            if case == "runs":
+                stream_ingest(spark, landing, path, checkpoint, REGIONS).awaitTermination()
+        stream_ingest(spark, landing, path, checkpoint, REGIONS, **options).awaitTermination()
+        assert content(read_actuals(spark, path)) == {("CISO", datetime(2026, 1, 1), 25.0)}
+
+
+def test_a_later_pull_revises_some_sub_areas(spark, tmp_path):
+    path = str(tmp_path / "load")
+    ingest_batch(pull(spark, "pull-1", [("CISO", "A", "2026-01-01T00", "10"), ("CISO", "B", "2026-01-01T00", "15")]), path, REGIONS)
+    ingest_batch(pull(spark, "pull-2", [("CISO", "A", "2026-01-01T00", "1"), ("PJM", None, "2026-01-01T00", "2")]), path, REGIONS)
+    assert content(read_actuals(spark, path)) == {("CISO", datetime(2026, 1, 1), 16.0), ("PJM", datetime(2026, 1, 1), 2.0)}
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     landing, path, checkpoint = (str(tmp_path / n) for n in ("landing", "load", "checkpoint"))
     for p in both_pulls(spark):
@@ -104,6 +124,16 @@ def test_late_readings_revise_or_are_dropped(spark, tmp_path):
     }
 
 
+def test_daily_readings_are_revised_for_a_week(spark, tmp_path):
+    folder, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    t = datetime(2026, 1, 11)
+    for rows in ([("CISO", "A", t, 1.0)], [("CISO", "A", t - timedelta(days=6), 2.0)], [("CISO", "A", t - timedelta(days=6), 3.0)]):
+        write_file(spark, folder, rows)
+        stream = spark.readStream.schema(TYPED).parquet(folder)
+        write_revisions(stream_region_totals(stream, REGIONS, "daily"), path, checkpoint).awaitTermination()
+    assert content(current_totals(spark, path)) == {("CISO", t, 1.0), ("CISO", t - timedelta(days=6), 5.0)}
+
+
 def test_repeated_deliveries_are_stored_once(spark, tmp_path):
     folder = str(tmp_path / "in")
     rows = [("CISO", "A", datetime(2026, 1, 1, h), float(h)) for h in range(10)]

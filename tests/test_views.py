@@ -65,3 +65,9 @@ def test_spans_and_previews(series, stored):
     profile = views.dataset_profile(rows.unionByName(series(B=[1.0]))).first()
     assert profile.rows == 61 and profile.regions == ["A", "B"]
     assert [r.region for r in views.region_list(rows, stored).collect()] == ["A", "CISO", "PJM"]
+
+
+def test_records_keep_microseconds_and_drop_infinities(spark):
+    rows = [(datetime(2026, 1, 1, 0, 0, 0, 123456), float("inf")), (datetime(2026, 1, 1), float("nan"))]
+    records = [r.record for r in views.to_records(spark.createDataFrame(rows, "t timestamp, v double")).collect()]
+    assert records == ['{"t":"2026-01-01T00:00:00.123456+00:00","v":null}', '{"t":"2026-01-01T00:00:00+00:00","v":null}']
