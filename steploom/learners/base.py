@@ -75,8 +75,8 @@ def persistence(
     origins: DataFrame, horizon: int, resolution: str = "hourly", keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Repeat each series' last value; without any value the forecast is 0."""
-    steps = future_grid(origins, horizon, resolution, keys)
-    return steps.join(origins.select(*keys, F.coalesce("last_value", F.lit(0.0)).alias("yhat")), list(keys))
+    last = origins.withColumn("yhat", F.coalesce("last_value", F.lit(0.0)))
+    return future_grid(last, horizon, resolution, keys, carry=["yhat"])
 
 
 @dataclass(frozen=True)
@@ -113,12 +113,15 @@ def forecast_filled(
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast every filled grid: trainable series by the learner, others by persistence.
 
-    Returns ``keys, step_no, yhat`` and the training information of trained series.
+    Returns ``keys, origin, step_no, yhat`` and the training information of trained series.
+    Predictions meet their series' profile once, for scale and origin together.
     """
     given = prepared or prepare(filled, config, learner, keys)
     profile, ready, long = given.profile, given.ready, learner.trainable(config)
     shared = {} if given.features is None else {"features": given.features}
     z, info = learner.forecast(given.scaled, ready, horizon, config, keys, **shared)
-    trained = unscale(z, ready, keys).select(*keys, "step_no", "yhat")
-    short = persistence(profile.where(~long), horizon, config.resolution, keys)
-    return trained.unionByName(short.select(*keys, "step_no", "yhat")), info
+    columns = [*keys, "origin", "step_no", "yhat"]
+    profiled = z.join(ready.select(*keys, "origin", "level", "spread"), list(keys))
+    trained = profiled.withColumn("yhat", F.col("level") + F.col("spread") * F.col("z")).select(*columns)
+    short = persistence(profile.where(~long), horizon, config.resolution, keys).withColumnRenamed("issue_time", "origin")
+    return trained.unionByName(short.select(*columns)), info

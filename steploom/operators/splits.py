@@ -129,10 +129,12 @@ def future_grid(
     keys: Sequence[str] = KEYS,
     issue_time=None,
     origin: str = "origin",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``horizon`` target times after each series' origin, numbered from 1.
 
-    ``issue_time`` is the origin unless another column is given.
+    ``issue_time`` is the origin unless another column is given; ``carry`` names
+    columns that every step takes along.
     """
     issued = F.col(origin) if issue_time is None else issue_time
     steps = origins.select(
@@ -140,6 +142,7 @@ def future_grid(
         F.col(origin).alias("_origin"),
         issued.alias("issue_time"),
         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step_no"),
+        *carry,
     )
     target = shift_steps("_origin", F.col("step_no"), _step(resolution))
-    return steps.select(*keys, "issue_time", "step_no", target.alias("target_time"))
+    return steps.select(*keys, "issue_time", "step_no", target.alias("target_time"), *carry)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import shift_steps
-from ..learners.base import Learner, forecast_filled, profile_of
+from ..learners.base import Learner, forecast_filled
 from ..operators.gridding import regular_grid
 from ..schemas import KEYS, SeriesModel
 from ..session import materialize
@@ -30,9 +30,8 @@ def forecast_grouped(
     """
     filled = materialize(regular_grid(df, keys, config.resolution, fill=True, trim_tail=True), "filled")
     steps, _ = forecast_filled(filled, horizon, config, learner, keys)
-    origins = profile_of(filled, keys).select(*keys, "origin")
     issued = F.col("origin") if issue_time is None else issue_time
-    return steps.join(origins, list(keys)).select(
+    return steps.select(
         *keys,
         issued.alias("issue_time"),
         shift_steps("origin", F.col("step_no"), config.step_us).alias("target_time"),

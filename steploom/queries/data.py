@@ -88,10 +88,14 @@ def actuals(spark: SparkSession, sf_dir: str, resolution: str = "hourly") -> Dat
     return materialize(totals, f"actuals-{resolution}")
 
 
-def forecasts(spark: SparkSession, sf_dir: str, resolution: str = "hourly") -> DataFrame:
-    """Seasonal forecasts of every step, issued at midnight or at the start of the month."""
+def forecasts(spark: SparkSession, sf_dir: str, resolution: str = "hourly", seen: DataFrame | None = None) -> DataFrame:
+    """Seasonal forecasts of every step, issued at midnight or at the start of the month.
+
+    ``seen``: the actuals, where the caller has them already.
+    """
     season, issue = (24, "day") if resolution == "hourly" else (7, "month")
-    filled = regular_grid(actuals(spark, sf_dir, resolution), resolution=resolution, fill=True)
+    seen = actuals(spark, sf_dir, resolution) if seen is None else seen
+    filled = regular_grid(seen, resolution=resolution, fill=True)
     rows = seasonal_naive(filled, season, resolution=resolution).where(F.col("yhat").isNotNull())
     return rows.select(
         *KEYS, F.date_trunc(issue, "period").alias("issue_time"), F.col("period").alias("target_time"), "yhat"

@@ -85,8 +85,9 @@ def serve_metrics(spark, sf_dir):
     ["mw"],
 )
 def actual_forecast_frame(spark, sf_dir):
-    run = views.latest_issue(forecasts(spark, sf_dir))
-    return views.actual_forecast_frame(actuals(spark, sf_dir), run, "ERROR", 14)
+    seen = actuals(spark, sf_dir)
+    run = views.latest_issue(forecasts(spark, sf_dir, seen=seen))
+    return views.actual_forecast_frame(seen, run, "ERROR", 14)
 
 
 def _backtest(spark, sf_dir):
@@ -159,7 +160,8 @@ def best_config_frame(spark, sf_dir):
     doubles=["mae", "rmse", "mape", "smape"],
 )
 def region_metrics(spark, sf_dir):
-    joined = evaluate.join_actual_forecast(actuals(spark, sf_dir), forecasts(spark, sf_dir))
+    seen = actuals(spark, sf_dir)
+    joined = evaluate.join_actual_forecast(seen, forecasts(spark, sf_dir, seen=seen))
     return views.region_metrics(evaluate.forecast_metrics(joined), "PURCHASE")
 
 

@@ -21,7 +21,8 @@ ERRORS = ["mae", "rmse", "mape", "smape"]
 
 
 def _joined(spark, sf_dir):
-    return evaluate.join_actual_forecast(actuals(spark, sf_dir), forecasts(spark, sf_dir))
+    seen = actuals(spark, sf_dir)
+    return evaluate.join_actual_forecast(seen, forecasts(spark, sf_dir, seen=seen))
 
 
 def _by_series(spark, sf_dir):
@@ -213,6 +214,7 @@ def window_registry(spark, sf_dir):
 
 @query(with_views("SELECT * FROM by_series", "by_series"), doubles=ERRORS)
 def overlap_evaluation(spark, sf_dir):
-    return score_overlap(actuals(spark, sf_dir), forecasts(spark, sf_dir)).by_series
+    seen = actuals(spark, sf_dir)
+    return score_overlap(seen, forecasts(spark, sf_dir, seen=seen)).by_series
 
 

@@ -9,7 +9,7 @@ from ..operators.views import prepare_actuals as prepare_actual_rows
 from ..operators.views import prepare_forecasts as prepare_forecast_rows
 from ..plans.tuning import PARAMETERS, grid_combos
 from ..schemas import ACTUALS, BEST_PARAMS, FORECASTS, KEYS, PAGE_SIZE, WINDOWS
-from ..session import fresh_path
+from ..session import fresh_path, materialize
 from ..sources import pages, reports, tables
 from .data import actuals, forecasts, hourly_actuals, raw_readings, season_scores
 from .registry import query
@@ -95,7 +95,7 @@ def write_table(spark, sf_dir):
 
 def best_documents(spark, sf_dir):
     """Best-params documents of two windows from the season scores."""
-    results = combo_scores(season_scores(spark, sf_dir), ["window", "combo_id"])
+    results = materialize(combo_scores(season_scores(spark, sf_dir), ["window", "combo_id"]), "scores")
     best = best_combo(results)
     combos = grid_combos()
     params = spark.createDataFrame([tuple(c.values()) for c in combos], ["combo_id", *PARAMETERS])
@@ -194,9 +194,9 @@ def written_reports(spark, sf_dir):
     """Daily backtest reports as text files, one per day."""
     from ..functions.errors import by_series, error_sums, overall
     from ..operators.evaluate import join_actual_forecast
-    from ..session import materialize
 
-    joined = join_actual_forecast(actuals(spark, sf_dir), forecasts(spark, sf_dir))
+    seen = actuals(spark, sf_dir)
+    joined = join_actual_forecast(seen, forecasts(spark, sf_dir, seen=seen))
     day = F.date_format("period", "yyyy-MM-dd")
     sums = materialize(error_sums(joined.withColumn("day", day), ["day", *KEYS]), "sums")
     pooled = overall(sums, ["day"])
