@@ -56,6 +56,55 @@ def fit_boosted(spark, sf_dir):
     return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
 
 
+@query(
+    with_views(
+        "SELECT region, series, period, y, avg(y) OVER (PARTITION BY is_weekend) AS yhat FROM hfeatures", "hfeatures"
+    ),
+    ["period"],
+    ["y", "yhat"],
+    digits=3,
+)
+def fit_boosted_stumps(spark, sf_dir):
+    """Two trees of one split on all hourly rows, where only the weekend column varies.
+
+    The first tree's leaves are the means of both kinds of days, and the second has nothing left to explain.
+    """
+    trees = {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
+    config = model_for("hourly", trees)
+    rows = materialize(feature_matrix(actuals(spark, sf_dir), config), "features")
+    plain = rows.withColumns({c: F.lit(0.0) for c in config.feature_cols if c != "is_weekend"})
+    fitted = BoostedLearner().fit(plain, config).transform(plain)
+    return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
+
+
+_LINEAR_COLUMNS = ("hour_sin", "dow_cos", "lag_1", "lag_2", "lag_24", "lag_168", "rollmean_24")
+
+
+@query(
+    with_views(
+        f"""SELECT region, series, feature, 0.0 AS balance, count(*) AS n
+            FROM hfeatures, (VALUES {", ".join(f"('{c}')" for c in _LINEAR_COLUMNS)}) AS c(feature)
+            GROUP BY region, series, feature""",
+        "hfeatures",
+    ),
+    doubles=["balance"],
+    digits=5,
+)
+def linear_normal_equations(spark, sf_dir):
+    """The fit on all features and rows: residuals are orthogonal to every feature, as least squares demands."""
+    config, learner = model_for("hourly", ridge=0.0), LinearLearner()
+    rows = materialize(feature_matrix(actuals(spark, sf_dir), config), "features")
+    fitted = learner.predict(rows, learner.fit(rows, config), config).withColumn("rest", F.col("y") - F.col("z"))
+    sums = fitted.groupBy(*KEYS).agg(
+        *[(F.sum(F.col(c) * F.col("rest")) / F.sum(F.abs(F.col(c) * F.col("y")))).alias(c) for c in _LINEAR_COLUMNS],
+        F.count(F.lit(1)).alias("n"),
+    )
+    # The two ways to write zero are one.
+    return sums.unpivot([*KEYS, "n"], list(_LINEAR_COLUMNS), "feature", "balance").withColumn(
+        "balance", F.round("balance", 5) + 0.0
+    )
+
+
 _ONE_LAG_SQL = """
     , pairs AS (SELECT region, series, period, y, lag_24,
                        row_number() OVER (PARTITION BY region, series ORDER BY period) AS pos,
