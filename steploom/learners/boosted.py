@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..operators.features import features_of
 from ..operators.splits import trainable
 from ..schemas import KEYS, SeriesModel
-from ..session import fresh_path, materialize
+from ..session import checkpoint_folder, fresh_path, materialize
 from .base import tails
 from .recursion import recursive_forecast
 
@@ -118,6 +118,7 @@ class BoostedLearner:
 
     def fit(self, features: DataFrame, config: SeriesModel) -> PipelineModel:
         """One model on all given feature rows."""
+        checkpoint_folder(features.sparkSession)
         assembler = _assembler(config)
         rows = assembler.transform(features).select("features", "y")
         return PipelineModel([assembler, _regressor(config).fit(rows)])

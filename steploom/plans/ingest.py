@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import series_name
 from ..operators.ingest import normalize_readings, select_timezone_copy, upsert_latest, watermarks
 from ..schemas import ACTUALS
-from ..session import materialize
+from ..session import materialize, run_folder
 from ..sources.tables import read_series, write_table
 
 _STORED = T.StructType([*ACTUALS.fields, T.StructField("month", T.StringType())])
@@ -83,6 +83,11 @@ def ingest_batch(
     months, the batch has to be run again, and the stream does so.
     """
     spark = raw.sparkSession
+    with run_folder(spark):
+        _ingest(spark, raw, path, regions, resolution, timezone)
+
+
+def _ingest(spark, raw, path, regions, resolution, timezone) -> None:
     month = F.date_format("period", "yyyy-MM")
     fresh = materialize(typed_readings(raw, regions, resolution, timezone).distinct(), "fresh")
     first, last = fresh.agg(F.min(month), F.max(month)).first()
@@ -102,12 +107,13 @@ def ingest_batch(
 def merge_totals(totals: DataFrame, path: str) -> None:
     """Put changed totals on top of the months they belong to; the newest value of a total wins."""
     spark, month = totals.sparkSession, F.date_format("period", "yyyy-MM")
-    fresh = materialize(totals.select(*ACTUALS.fieldNames()), "totals")
-    first, last = fresh.agg(F.min(month), F.max(month)).first()
-    if first is None:
-        return
-    stored = read_actuals(spark, path).where(F.col("month").between(first, last)).select(*ACTUALS.fieldNames())
-    write_table(upsert_latest(stored, fresh).withColumn("month", month).hint("rebalance", "month"), path, ["month"])
+    with run_folder(spark):
+        fresh = materialize(totals.select(*ACTUALS.fieldNames()), "totals")
+        first, last = fresh.agg(F.min(month), F.max(month)).first()
+        if first is None:
+            return
+        stored = read_actuals(spark, path).where(F.col("month").between(first, last)).select(*ACTUALS.fieldNames())
+        write_table(upsert_latest(stored, fresh).withColumn("month", month).hint("rebalance", "month"), path, ["month"])
 
 
 def table_state(spark: SparkSession, path: str, dataset: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..learners.base import Learner
 from ..schemas import TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
-from ..session import materialize, side_by_side
+from ..session import materialize, run_folder, side_by_side
 from ..sources.tables import read_best_params, write_best_params, write_table
 from .backtesting import backtest_report
 from .forecasting import forecast_grouped
@@ -42,8 +42,10 @@ def tune_windows(
 ) -> None:
     """Search the grid for each window and store its winner."""
     for target in resolve_windows(windows):
-        results = materialize(grid_search(tables[target.resolution], target, learner, grid), "results")
-        write_best_params(best_params(results, target, grid), params_path)
+        actual = tables[target.resolution]
+        with run_folder(actual.sparkSession):
+            results = materialize(grid_search(actual, target, learner, grid), "results")
+            write_best_params(best_params(results, target, grid), params_path)
 
 
 def run_windows(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 R = TypeVar("R")
 _LOCAL_FOLDERS: dict[str, str] = {}
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def build_session(app_name: str = "steploom", **conf: str) -> SparkSession:
@@ -55,9 +58,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for what a job stores on its way; it is removed when the job ends, well or not.
+
+    For jobs that write their results elsewhere.  Tables returned to the caller may still
+    read what was stored, so steps that return tables use no such folder of their own.
+    """
+    path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN_FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        _RUN_FOLDER.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the job's or the shared folder that no other run uses."""
+    return f"{_RUN_FOLDER.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Make sure that long iterations can cut their lineage in the shared folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(spark))
 
 
 def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], R]], limit: int = 4) -> list[R]:
@@ -66,7 +93,8 @@ def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], R]], limit: i
     Each step only builds and submits Spark jobs; results keep the order of the steps.
     """
     with ThreadPoolExecutor(max_workers=limit) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
+        started = [pool.submit(copy_context().run, inheritable_thread_target(spark)(step)) for step in steps]
+        return [f.result() for f in started]
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

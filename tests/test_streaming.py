@@ -1,9 +1,11 @@
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from steploom.plans.ingest import ingest_batch, read_actuals, table_state
 from steploom.queries.tables import land_pages
+from steploom.session import shared_folder
 from steploom.streaming.readings import (
     current_totals,
     stream_dedup,
@@ -78,6 +80,12 @@ def test_a_pull_may_arrive_in_parts(spark, tmp_path):
         assert content(read_actuals(spark, path)) == {("CISO", datetime(2026, 1, 1), 25.0)}
 
 
+def test_jobs_leave_nothing_behind(spark, tmp_path):
+    before = set(os.listdir(shared_folder(spark)))
+    ingest_batch(both_pulls(spark)[0], str(tmp_path / "load"), REGIONS)
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
 def test_a_later_pull_revises_some_sub_areas(spark, tmp_path):
     path = str(tmp_path / "load")
     ingest_batch(pull(spark, "pull-1", [("CISO", "A", "2026-01-01T00", "10"), ("CISO", "B", "2026-01-01T00", "15")]), path, REGIONS)
