@@ -153,7 +153,9 @@ def judge_documents(
     stored = materialize(docs.withColumn(name, text_counts(F.col(text))), "counted")
     failed = failures(F.col(name), rules)
     counted = stored.select(F.col(host).alias("host"), F.struct(*[c.alias(r) for r, c in failed.items()]).alias("failed"))
-    verdicts = host_verdicts(counted, rules).where("refused").select(F.col("host").alias(f"{name}_host"))
+    # Stored, so that the planner knows how large the table is: where it is small, the texts are not shuffled.
+    refused = materialize(host_verdicts(counted, rules).where("refused").select("host"), "refused")
+    verdicts = refused.select(F.col("host").alias(f"{name}_host"))
     base = failed[BASE_RULES[0]]
     for r in BASE_RULES[1:]:
         base = base | failed[r]
