@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from steploom.session import materialize
+
 from .url_filter import host_of
 
 _TAG = re.compile(
@@ -268,7 +270,8 @@ def extract_pages(pages: DataFrame, url: str = "url", page_html: str = "html", k
     page = pages.select(
         F.col(key).alias("page_id"), F.col(url).alias("url"), F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"), F.col(page_html).alias("html")
     )
-    joined = page.join(host_paths(page), "host", "left").select("page_id", "url", "html", "path")
+    # Stored, so that the planner knows how large the table is: where it is small, the pages are not shuffled.
+    joined = page.join(materialize(host_paths(page), "paths"), "host", "left").select("page_id", "url", "html", "path")
     kind = page.schema["page_id"].dataType.simpleString()
     return joined.mapInPandas(_extract, f"page_id {kind}, url string, text string").select(
         F.col("page_id").alias(key), F.col("url").alias(url), "text"
