@@ -42,7 +42,8 @@ class PackConfig:
     cache_words: int = 800_000
 
 
-# The split pattern of the vocabulary file.
+# The split pattern of the vocabulary file, and the end sign of its words.
+WORD_END = "</w>"
 _ASCII_SPACES = dict.fromkeys(map(ord, "\t\n\x0b\x0c\r"), " ")
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -61,40 +62,56 @@ def _plain_pattern() -> re.Pattern:
     return re.compile(SPLIT_PATTERN.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
 
 
-class _PartIds(dict):
-    """Ids of the parts of words, asked of the tokenizer when they are new."""
-
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self[part] = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        return ids
-
-
 class WordTokenizer:
     """Token ids of texts, part by part, with a bounded memory for parts seen before.
 
     The vocabulary splits a text into words, numbers and signs and never joins across
-    them, so a text's ids are its parts' ids in order.  Plain text is split here; what has
-    other characters or something like a special token in it goes to the tokenizer word by word.
+    them, so a text's ids are its parts' ids in order.  Plain text is split here, and its
+    new parts go to the tokenizer together: the last token of a part bears the end sign of
+    a word, so the answer is cut there.  Text with other characters or something like a
+    special token in it goes to the tokenizer word by word.
     """
 
     def __init__(self, path: str, cache_words: int):
         from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
         self.split = _plain_pattern()
         self.cache_words = cache_words
-        self.parts = _PartIds(Tokenizer.from_file(path))
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _direct(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, parts: list[str]) -> None:
+        ids = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ends = ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()
+        if len(ends) != len(parts):
+            self.parts.update((p, self._direct(p)) for p in parts)
+            return
+        data, start = array("I", ids).tobytes(), 0
+        for part, end in zip(parts, ends, strict=True):
+            self.parts[part] = data[start:end]
+            start = end
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
+        if "<|" in text or not _PLAIN.match(text):
+            words = text.encode("utf-8", "replace").decode("utf-8").translate(_ASCII_SPACES).split(" ")
+            if len(self.words) > self.cache_words // 4:
+                self.words.clear()
+            self.words.update((w, self._direct(w)) for w in set(words).difference(self.words))
+            return b"".join(map(self.words.__getitem__, words))
+        parts = self.split.findall(text.lower())
         if len(self.parts) > self.cache_words:
             self.parts.clear()
-        if "<|" not in text and _PLAIN.match(text):
-            parts = self.split.findall(text.lower())
-        else:
-            parts = text.encode("utf-8", "replace").decode("utf-8").translate(_ASCII_SPACES).split(" ")
+        new = list(set(parts).difference(self.parts))
+        if new:
+            self._learn(new)
         return b"".join(map(self.parts.__getitem__, parts))
 
 
