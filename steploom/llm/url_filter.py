@@ -103,17 +103,16 @@ def rule_table(like: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return like.sparkSession.createDataFrame(rows, schema)
 
 
-def rarest_token_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def rarest_token_index(urls: DataFrame, rules: DataFrame, small: bool = True) -> DataFrame:
     """Rules with the one of their tokens that the fewest URLs have (ties: the smallest).
 
     ``urls`` holds ``url``.  Counts cover all URLs; only tokens of some rule are counted,
-    so the counted table is as small as the rules.
+    so the counted table is as small as the rules.  ``small``: the rules may be sent to every task.
     """
     needed = rules.select("rule_id", F.explode("tokens").alias("token"))
     seen = urls.select(F.explode(tokens_of(F.col("url"))).alias("token"))
-    counts = (
-        seen.join(F.broadcast(needed.select("token").distinct()), "token", "left_semi").groupBy("token").count()
-    )
+    wanted = needed.select("token").distinct()
+    counts = seen.join(F.broadcast(wanted) if small else wanted, "token", "left_semi").groupBy("token").count()
     ranked = needed.join(counts, "token", "left").groupBy("rule_id").agg(
         F.min_by("token", F.struct(F.coalesce("count", F.lit(0)), "token")).alias("token")
     )
@@ -134,8 +133,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", keys:
     """
     page = pages.select(*keys, F.col(url).alias("_url"))
     urls = page.where(F.col("_url").isNotNull()).select(F.col("_url").alias("url")).distinct()
-    index = rarest_token_index(urls, rule_table(pages, rules))
-    if len(rules) <= BROADCAST_RULES:
+    small = len(rules) <= BROADCAST_RULES
+    index = rarest_token_index(urls, rule_table(pages, rules), small)
+    if small:
         index = F.broadcast(index)
     candidates = urls.select("url", F.explode(tokens_of(F.col("url"))).alias("token")).join(index, "token")
     subject = F.when(
