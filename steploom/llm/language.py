@@ -15,6 +15,8 @@ from .common import crc_of
 
 UNKNOWN = "und"
 _GROUP_DOCS = 64
+#: Parts of a language that are ranked apart first, so that the last ranking sees a bounded number of rows.
+_SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -151,7 +153,7 @@ def train_languages(docs: DataFrame, config: LangConfig | None = None) -> LangMo
     Only the landmarks' texts reach the driver; the rest of the sample sends its kernel rows.
 
     Of each language the same number of documents is taken, those with the smallest hashes of their
-    ids; the partial limits of the ranking keep all but those from being shuffled.  Rows
+    ids: ranked within parts of a language first, so that a frequent one is no hot spot.  Rows
     with a NULL id, NULL language or NULL or empty text are not learned from.
     """
     config = config or LangConfig()
@@ -161,8 +163,11 @@ def train_languages(docs: DataFrame, config: LangConfig | None = None) -> LangMo
     ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
     n_languages = max(1, usable.select("lang").distinct().count())
     each = max(1, config.sample // n_languages)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id", "lang", "rank")
+    order = ["h", "doc_id"]
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(_SALTS))).orderBy(*order))
+    first = ids.withColumn("rank", part).where(F.col("rank") <= each).drop("rank")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    chosen = first.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id", "lang", "rank")
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
     first = sample.where(F.col("rank") <= max(1, config.landmarks // n_languages)).collect()
     order = lambda r: (r["rank"], r["lang"], r["doc_id"], r["x"])
