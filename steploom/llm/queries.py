@@ -16,6 +16,7 @@ from .near_dup import near_duplicate_components
 from .oracles import ORACLES
 from .packing import PackConfig, pack_documents
 from .quality_rules import judge_documents
+from .sharding import shard_documents
 from .topk import quantized, search_top_k
 from .url_filter import HostPath, Pattern, judge_urls
 
@@ -68,6 +69,10 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(read(spark, sf_dir, "documents")).select("doc_id", "shard")
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, config = read(spark, sf_dir, "documents").select("doc_id", "text"), MilConfig()
     score = quality_score(train_quality(docs, read(spark, sf_dir, "labels"), config))
@@ -94,6 +99,7 @@ QUERIES = {
     "op3_language_id": language_id,
     "op4_near_duplicates": near_duplicates,
     "op5_packing": packing,
+    "op6_sharding": sharding,
     "op7_quality_classifier": quality_classifier,
     "op8_html_text": html_text,
     "op9_mixing": mixing,
