@@ -204,25 +204,43 @@ def _tag_of(path: tuple[str, ...]) -> str:
     return re.split(r"[.#]", path[-1])[0]
 
 
-def best_path(blocks: list[Block], share: float = 0.7) -> tuple[tuple[str, ...], int]:
-    """The container that holds a page's main text, and its score.
+def _is_named(path: tuple[str, ...]) -> bool:
+    return bool(path) and _tag_of(path) in ("article", "main")
 
-    A block is worth its characters less twice those of links.  An article or main
-    element with text wins; otherwise the deepest container that holds ``share`` of the page's worth.
+
+def _common(paths: list[tuple[str, ...]]) -> tuple[str, ...]:
+    low, high = min(paths), max(paths)
+    return low[: next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))]
+
+
+def best_path(blocks: list[Block], share: float = 0.7, part: float = 0.1) -> tuple[tuple[str, ...], int]:
+    """The container that holds a page's main text, and its worth.
+
+    A block is worth its characters less twice those of links; in an article or main element it
+    scores half as much again.  The container holds ``share`` of the page's score: of those that do, the outermost
+    article or else main element, or else the deepest container.  If articles outside the chosen one hold ``part``
+    of the page's worth each, it is the lowest container of all of these instead.
     """
-    worth: dict[tuple[str, ...], int] = {}
+    own: dict[tuple[str, ...], int] = {}
     for b in blocks:
-        value = max(0, len(b.text) - 2 * b.link_chars)
-        for n in range(len(b.path) + 1):
-            worth[b.path[:n]] = worth.get(b.path[:n], 0) + value
+        own[b.path] = own.get(b.path, 0) + max(0, len(b.text) - 2 * b.link_chars)
+    worth: dict[tuple[str, ...], int] = {}
+    score: dict[tuple[str, ...], int] = {}
+    for path, value in own.items():
+        inner = [path[:n] for n in range(len(path) + 1)]
+        gain = 3 * value if any(map(_is_named, inner)) else 2 * value
+        for p in inner:
+            worth[p] = worth.get(p, 0) + value
+            score[p] = score.get(p, 0) + gain
     total = worth.get((), 0)
     if not total:
         return (), 0
-    named = [p for p, v in worth.items() if v and p and _tag_of(p) in ("article", "main")]
-    if named:
-        chosen = max(named, key=lambda p: (_tag_of(p) == "article", worth[p], -len(p), p))
-    else:
-        chosen = max((p for p, v in worth.items() if v >= share * total), key=lambda p: (len(p), worth[p], p))
+    # Containers with so much of the score lie within each other.
+    holders = sorted((p for p, v in score.items() if v >= share * score[()]), key=len)
+    articles = [p for p in worth if p and _tag_of(p) == "article"]
+    chosen = next((p for p in holders if p in articles), None) or next((p for p in holders if _is_named(p)), holders[-1])
+    others = [p for p in articles if worth[p] >= part * total and not _starts(p, chosen)]
+    chosen = _common([chosen, *others])
     return chosen, worth[chosen]
 
 

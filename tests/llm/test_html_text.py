@@ -45,6 +45,25 @@ def test_pages(page, text):
     assert text_of(page) == text
 
 
+LONG, MORE = ("long text, " * 40).strip(), ("more words. " * 15).strip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<main><div>{LONG}</div><article class=teaser>short</article></main>", f"{LONG} short"),
+        (f"<div class=text>{LONG}</div><article class=teaser>short</article>", LONG),
+        (f"<article class=a>{LONG}</article><article class=b>{MORE}</article>", f"{LONG} {MORE}"),
+        (f"<main><div><article class=a>{LONG}</article></div><article class=b>{MORE}</article></main><div>x</div>", f"{LONG} {MORE}"),
+        (f"<main><p>{MORE}</p><article>{MORE}</article></main>", f"{MORE} {MORE}"),
+        (f"<article><div>{LONG}</div><div class=end>{MORE}</div></article><article class=teaser>short</article>", f"{LONG} {MORE}"),
+        (f"<article>{LONG}</article><div>{MORE}</div>", LONG),
+    ],
+)
+def test_articles_hold_the_share(page, text):
+    assert text_of(page) == text
+
+
 def test_long_and_deep_pages():
     assert text_of("<article>" + "<p>word" * 50_000 + "</article>") == " ".join(["word"] * 50_000)
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
