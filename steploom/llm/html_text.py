@@ -46,7 +46,7 @@ _DROPPED_TAGS = frozenset(
     "head script style noscript template nav header footer aside form button select option iframe svg math textarea title dialog menu object canvas "
     "audio video noembed noframes".split()
 )
-#: Words in a class or id that mark what is not main text.
+#: Words in a class or id that mark what is not main text, unless the element holds most of the page or an article.
 _DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot banner banners breadcrumb breadcrumbs comment comments commentlist disqus cookie "
     "cookies consent gdpr footer header masthead menu menus nav navbar navigation newsletter notice notices notification alert modal overlay popup "
@@ -72,6 +72,17 @@ class _Element:
     dropped: bool
     path: tuple[str, ...]
     link: bool
+    #: The innermost marked element it is or lies in; 0 for none.
+    mark: int
+
+
+@dataclass
+class _Mark:
+    """An element with a word of what is not main text, and what it holds."""
+
+    outer: int
+    unlinked: int = 0
+    article: bool = False
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -87,6 +98,10 @@ def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower() or attributes.get("role", "").lower() in _DROPPED_ROLES:
         return True
+    return False
+
+
+def _is_marked(attributes: dict[str, str]) -> bool:
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     return any(w.lower() in _DROPPED_WORDS for w in _WORD.findall(named))
 
@@ -101,19 +116,19 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 
 @dataclass
 class _Parser:
-    blocks: list[Block] = field(default_factory=list)
+    #: Path, and texts with their marks and whether they are links.
+    found: list[tuple[tuple[str, ...], list[tuple[str, int, bool]]]] = field(default_factory=list)
     stack: list[_Element] = field(default_factory=list)
-    words: list[str] = field(default_factory=list)
-    link_chars: int = 0
+    words: list[tuple[str, int, bool]] = field(default_factory=list)
+    marks: list[_Mark] = field(default_factory=lambda: [_Mark(0)])
 
     def top(self) -> _Element:
-        return self.stack[-1] if self.stack else _Element("", False, (), False)
+        return self.stack[-1] if self.stack else _Element("", False, (), False, 0)
 
     def flush(self) -> None:
-        text = " ".join("".join(self.words).split())
-        if text:
-            self.blocks.append(Block(self.path_here(), text, self.link_chars))
-        self.words, self.link_chars = [], 0
+        if self.words:
+            self.found.append((self.path_here(), self.words))
+            self.words = []
 
     def path_here(self) -> tuple[str, ...]:
         return self.top().path
@@ -121,10 +136,33 @@ class _Parser:
     def text(self, raw: str) -> None:
         top = self.top()
         if raw and not top.dropped:
-            found = html.unescape(raw) if "&" in raw else raw
-            self.words.append(found)
-            if top.link:
-                self.link_chars += len(found.strip())
+            self.words.append((html.unescape(raw) if "&" in raw else raw, top.mark, top.link))
+
+    def dropped_marks(self) -> list[bool]:
+        """Whether each mark's element is dropped: not if it holds most of the page's unlinked text or
+        an article or main element without such a word, and none if no unlinked text would be left.
+        """
+        for _, words in self.found if len(self.marks) > 1 else ():
+            for text, mark, link in words:
+                if not link:
+                    self.marks[mark].unlinked += len(text.strip())
+        alone = [m.unlinked for m in self.marks]
+        for m in reversed(self.marks[1:]):
+            self.marks[m.outer].unlinked += m.unlinked
+            self.marks[m.outer].article |= m.article
+        total, dropped = self.marks[0].unlinked, [False]
+        for m in self.marks[1:]:
+            dropped.append(dropped[m.outer] or not (m.article or 2 * m.unlinked > total))
+        left = sum(n for n, d in zip(alone, dropped, strict=True) if not d)
+        return dropped if left or not total else [False] * len(dropped)
+
+    def blocks(self) -> list[Block]:
+        dropped, blocks = self.dropped_marks(), []
+        for path, words in self.found:
+            kept = [(text, link) for text, mark, link in words if not dropped[mark]]
+            if text := " ".join("".join(t for t, _ in kept).split()):
+                blocks.append(Block(path, text, sum(len(t.strip()) for t, link in kept if link)))
+        return blocks
 
     def pop_to(self, index: int) -> None:
         if any(e.tag not in _INLINE for e in self.stack[index:]):
@@ -158,7 +196,14 @@ class _Parser:
             return
         attributes, top = _attributes(rest), self.top()
         path = (*top.path, _step(tag, attributes)) if tag in _CONTAINER else top.path
-        self.stack.append(_Element(tag, top.dropped or _is_dropped(tag, attributes), path, top.link or tag == "a"))
+        dropped, mark, exempt = top.dropped or _is_dropped(tag, attributes), top.mark, tag in ("html", "body", "article", "main")
+        if attributes and not dropped and _is_marked(attributes):
+            if not exempt:
+                self.marks.append(_Mark(mark))
+                mark = len(self.marks) - 1
+        elif tag in ("article", "main") and not dropped:
+            self.marks[mark].article = True
+        self.stack.append(_Element(tag, dropped, path, top.link or tag == "a", mark))
 
     def close(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -193,7 +238,7 @@ def page_blocks(page: str | None) -> list[Block]:
         else:
             parser.open(tag, m[3])
     parser.flush()
-    return parser.blocks
+    return parser.blocks()
 
 
 def _starts(path: tuple[str, ...], prefix: tuple[str, ...]) -> bool:

@@ -64,6 +64,24 @@ def test_articles_hold_the_share(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='content has-sidebar'><p>{LONG}</p></div><div class=sidebar>side</div>", LONG),
+        (f"<div class=content-sidebar-wrap><div id=main><p>{LONG}</p></div><div class=sidebar>side</div></div>", LONG),
+        (f"<body><div class='page with-ads'><div class=ad>buy</div><article>{LONG}</article></div></body>", LONG),
+        (f"<div class=with-ads><article>{MORE}</article></div><div class=foot><a href=/x>{LONG}</a></div>", MORE),
+        (f"<div class='l with-ads'>{MORE}</div><div class='r with-ads'>{MORE}</div>", f"{MORE} {MORE}"),
+        (f"<div class=with-ads><p>{LONG} <span class=ad>buy</span>end</p></div>", f"{LONG} end"),
+        (f"<article>{LONG}</article><div id=comments><article class=comment>{MORE}</article></div>", LONG),
+        (f"<div class=text>{LONG}</div><div class=comments><p>nice</p></div>", LONG),
+        ("<div class=ads><a href=/x>buy</a></div>", ""),
+    ],
+)
+def test_words_drop_no_wrapper(page, text):
+    assert text_of(page) == text
+
+
 def test_long_and_deep_pages():
     assert text_of("<article>" + "<p>word" * 50_000 + "</article>") == " ".join(["word"] * 50_000)
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
