@@ -20,7 +20,9 @@ _TAG = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: One attribute after the other, so that no name is found inside a value.
+_ATTRIBUTE = re.compile(r"""([^\s/=>]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+_READ = frozenset("class id role hidden style aria-hidden".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe noembed noframes svg math xmp".split())
 _INLINE = frozenset(
@@ -86,7 +88,12 @@ class _Mark:
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text else {}
+    """The attributes that are read here; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if (name := m[1].lower()) in _READ:
+            found.setdefault(name, html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
 
 
 def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
@@ -169,6 +176,12 @@ class _Parser:
             self.flush()
         del self.stack[index:]
 
+    def leave(self, tags: set[str]) -> None:
+        for i, e in enumerate(self.stack):
+            if e.tag in tags:
+                self.pop_to(i)
+                return
+
     def open(self, tag: str, rest: str) -> None:
         if tag == "br":
             self.text(" ")
@@ -192,8 +205,6 @@ class _Parser:
                 if self.stack[i].tag in closed:
                     self.pop_to(i)
                     break
-        if rest.endswith("/") and tag in ("svg", "math"):
-            return
         attributes, top = _attributes(rest), self.top()
         path = (*top.path, _step(tag, attributes)) if tag in _CONTAINER else top.path
         dropped, mark, exempt = top.dropped or _is_dropped(tag, attributes), top.mark, tag in ("html", "body", "article", "main")
@@ -220,6 +231,7 @@ class _Parser:
 def page_blocks(page: str | None) -> list[Block]:
     """Blocks of text in page order, without what is never main text."""
     parser, at, page = _Parser(), 0, page or ""
+    endless: set[str] = set()
     while True:
         m = _TAG.search(page, at)
         if m is None:
@@ -232,10 +244,21 @@ def page_blocks(page: str | None) -> list[Block]:
         tag = m[2].lower()
         if m[1]:
             parser.close(tag)
-        elif tag in _RAW:
+        elif tag in ("svg", "math") and m[3].endswith("/"):
+            continue
+        elif tag in _RAW and tag not in endless:
             ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = ended.end() if ended else len(page)
+            if ended:
+                at = ended.end()
+            elif tag in ("svg", "math"):
+                # Without an end tag it ends with the element around it or at the next block.
+                endless.add(tag)
+                parser.open(tag, m[3])
+            else:
+                at = len(page)
         else:
+            if endless and tag in _CLOSES_P:
+                parser.leave(endless)
             parser.open(tag, m[3])
     parser.flush()
     return parser.blocks()

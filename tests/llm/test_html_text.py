@@ -82,6 +82,28 @@ def test_words_drop_no_wrapper(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article>a<svg class='i'/>b<p>c</p></article>", "ab c"),
+        ("<article>a<math/>b<svg/>c<svg><text>no</text></svg>d</article>", "abcd"),
+        ("<article><p>a<svg class=i><path d='M0'></p><p>b<svg></p><p>c</p></article>", "a b c"),
+        ("<article>a<svg class=i><text>no</text><p>b</p><svg>no<div>c</div></article>", "a b c"),
+        ("<article>see <a href='/hidden-valley'>the valley</a> x</article>", "see the valley x"),
+        ("<article><p title='a hidden gem'>gem</p><p data-x=\"style='display:none'\">y</p><p>z</p></article>", "gem y z"),
+        ("<article><a href='/p?id=ad12'>twelve</a> and <a href=/p?class=ad>ad</a> <b data-id='ad'>c</b></article>", "twelve and ad c"),
+        ("<article>a<p hidden>no</p><p HIDDEN=''>no</p><p style='display: none'>no</p><p id='x' class = \"ad\">n</p>and more</article>", "a and more"),
+        ("<article>a<p class='x' class='ad'>first counts</p></article>", "a first counts"),
+    ],
+)
+def test_tags_are_read_in_sequence(page, text):
+    assert text_of(page) == text
+
+
+def test_many_open_svgs():
+    assert text_of("<article>" + "<p>word<svg></p>" * 20_000 + "</article>") == " ".join(["word"] * 20_000)
+
+
 def test_long_and_deep_pages():
     assert text_of("<article>" + "<p>word" * 50_000 + "</article>") == " ".join(["word"] * 50_000)
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
