@@ -325,14 +325,13 @@ def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def host_paths(pages: DataFrame) -> DataFrame:
     """``host`` and its winning ``path``: the one that most pages chose (ties: more text, then the smaller path).
 
-    Votes are summed before they are shuffled, so a large host is no hot spot.
+    Votes are summed before they are shuffled, and each task sends its best path of a host only, so a large host
+    is no hot spot, however many paths it has.
     """
     votes = pages.select("host", "html").mapInPandas(_vote, "host string, path string, worth long")
     counted = votes.where("worth > 0").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("worth").alias("worth"))
-    order = F.struct("n", "worth")
-    best = counted.groupBy("host").agg(F.max(order).alias("top"), F.collect_list(F.struct(order.alias("o"), "path")).alias("all"))
-    ties = F.filter("all", lambda x: x["o"] == F.col("top"))
-    return best.select("host", F.array_min(F.transform(ties, lambda x: x["path"])).alias("path"))
+    order = F.struct((-F.col("n")).alias("n"), (-F.col("worth")).alias("worth"), "path")
+    return counted.groupBy("host").agg(F.min(order).alias("best")).select("host", "best.path")
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

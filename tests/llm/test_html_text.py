@@ -128,6 +128,16 @@ def test_votes_and_ties(spark):
     assert [tuple(r) for r in got] == [("h", "div.a")]
 
 
+def test_no_list_of_a_hosts_paths(spark):
+    slugs = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(300)]
+    rows = [("h", f"<div id={s}>some text</div>") for s in slugs] + [("h", f"<div id=zz{c}>{'text ' * n}</div>") for c, n in (("b", 4), ("b", 3), ("a", 5), ("a", 2))]
+    rows += [("g", "<div id=x>text text</div>"), ("g", "<div id=a>text</div>"), ("e", ""), ("", "<p>y</p>")]
+    paths = host_paths(spark.createDataFrame(rows, "host string, html string"))
+    assert sorted(map(tuple, paths.collect())) == [("", ""), ("g", "div#x"), ("h", "div#zza")]
+    plan = paths._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "partial_min" in plan
+
+
 def test_whole_table(spark):
     """The given pages keep their text in one article, with unclosed elements."""
     pages = read(spark, "/root/testdata/sf0.01", "pages")
