@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from steploom.session import materialize
+
 from .common import crc_of
 from .wordhash import GROUP_BYTES, mixed, normalized, span_hashes
 
@@ -20,14 +22,14 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class MilConfig:
-    """``sample_per_class`` labelled documents of each class and ``bag_limit`` evenly spaced passages
-    of each are learned from; scoring uses every passage of every document."""
+    """``sample_per_class`` labelled documents of each class are learned from, fewer if they have over half of
+    ``passages`` passages together; learning and scoring use every passage of a document."""
 
     passage_words: int = 48
     hidden: int = 16
     attention: int = 8
     sample_per_class: int = 2000
-    bag_limit: int = 128
+    passages: int = 512_000
     epochs: int = 250
     rate: float = 0.02
     decay: float = 1e-3
@@ -205,12 +207,26 @@ def held_out(key, config: MilConfig):
     return F.coalesce(crc_of(key) % modulus == rest, F.lit(False))
 
 
+def within_bound(sizes: list[tuple[int, int, int]], config: MilConfig) -> set[int]:
+    """Ids of the documents to learn from, of ids, labels and numbers of passages in the order of choice.
+
+    A document is taken whole if its passages still fit, and left out whole if not; the first of a class is always taken.
+    """
+    room, taken = {}, set()
+    for doc_id, label, n in sizes:
+        if label not in room or n <= room[label]:
+            room[label] = room.get(label, config.passages // 2) - n
+            taken.add(doc_id)
+    return taken
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, config: MilConfig | None = None) -> MilModel:
     """Learn from a bounded sample of the labelled documents that are not held out.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``quality``.  Of
-    each class the documents with the smallest hashes of their ids are taken.  Features are made
-    where the texts are; only they reach the driver, at most ``2 * sample_per_class * bag_limit`` rows.
+    each class the documents with the smallest hashes of their ids are taken, each with all its passages.
+    Features are made where the texts are; only they reach the driver, at most ``passages`` rows
+    unless a class's first document alone has more than half as many.
     Rows with a NULL id or label are not learned from; of several labels of a document
     the mean decides (from 0.5 up: 1).
     """
@@ -225,16 +241,15 @@ def train_quality(docs: DataFrame, labels: DataFrame, config: MilConfig | None =
     def features(batches):
         for batch in batches:
             x, counts = passage_features(batch["text"].tolist(), config.passage_words)
-            ends = np.cumsum(counts)
-            picks = [
-                np.unique(np.linspace(e - c, e - 1, min(c, config.bag_limit)).round().astype(int))
-                for e, c in zip(ends.tolist(), counts.tolist(), strict=True)
-            ]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "label": batch["label"], "n": [len(p) for p in picks], "x": [x[p].astype("f4").tobytes() for p in picks]}
-            )
-
-    got = rows.mapInPandas(features, "doc_id long, label int, n int, x binary").collect()
+            parts = np.split(x.astype("f4"), np.cumsum(counts)[:-1]) if len(counts) else []
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "n": counts, "x": [p.tobytes() for p in parts]})
+
+    # Stored, so that numbers of passages can be compared before features reach the driver.
+    made = materialize(rows.mapInPandas(features, "doc_id long, label int, n long, x binary"), "passages")
+    sizes = made.groupBy("doc_id", "label").agg(F.sum("n").alias("n")).orderBy(hashed, "doc_id").collect()
+    taken = within_bound([tuple(r) for r in sizes], config)
+    left_out = [r["doc_id"] for r in sizes if r["doc_id"] not in taken]
+    got = (made.where(~F.col("doc_id").isin(left_out)) if left_out else made).collect()
     got.sort(key=lambda r: (r["doc_id"], r["x"]))
     x = np.concatenate([np.frombuffer(r["x"], "f4").reshape(r["n"], -1) for r in got]).astype(float) if got else np.zeros((0, len(FEATURES)))
     return fit_mil(x, np.array([r["n"] for r in got], dtype=int), np.array([r["label"] for r in got], dtype=float), config)

@@ -3,9 +3,10 @@ import zlib
 import numpy as np
 import pytest
 
+from steploom.llm import mil_quality
 from steploom.llm.common import read
 from steploom.llm.language import LangConfig, identify, train_languages
-from steploom.llm.mil_quality import FEATURES, MilConfig, fit_mil, passage_features, quality_score, train_quality
+from steploom.llm.mil_quality import FEATURES, MilConfig, fit_mil, passage_features, quality_score, train_quality, within_bound
 from steploom.llm.queries import language_id, quality_classifier
 
 SF = "/root/testdata/sf0.01"
@@ -58,6 +59,31 @@ def test_quality_without_two_classes(spark, labels, share):
     assert model.scores(["x", None]) == pytest.approx([share, share])
 
 
+def learned_from(spark, monkeypatch, docs, config):
+    """Features and passage counts that reach the fit."""
+    seen = []
+    monkeypatch.setattr(mil_quality, "fit_mil", lambda *given: seen.append(given) or fit_mil(*given))
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+    train_quality(spark.createDataFrame(docs, DOCS), marks, config)
+    return seen[0]
+
+
+def test_all_passages_are_learned_from(spark, monkeypatch):
+    texts = {0: "one two three " * 16 * 300 + "!! " * 48 + "four five six " * 16 * 299, 1: "short", 7: "BUY " * 480}
+    x, counts, labels, _ = learned_from(spark, monkeypatch, list(texts.items()), MilConfig(epochs=1))
+    want, sizes = passage_features(list(texts.values()), 48)
+    assert counts.tolist() == sizes.tolist() == [600, 1, 10] and labels.tolist() == [0, 1, 1]
+    np.testing.assert_allclose(x, want, rtol=1e-6)
+
+
+def test_documents_beyond_the_bound_are_left_out_whole(spark, monkeypatch):
+    docs = [(i, "word " * 48 * (1 + i % 7)) for i in range(60)]
+    x, counts, labels, _ = learned_from(spark, monkeypatch, docs, MilConfig(epochs=1, passages=40))
+    assert set(counts) <= set(range(1, 8)) and len(x) == counts.sum()
+    assert all(14 <= counts[labels == k].sum() <= 20 for k in (0, 1))
+    assert within_bound([(1, 0, 99), (2, 1, 3), (3, 0, 1), (4, 1, 18), (5, 1, 17)], MilConfig(passages=40)) == {1, 2, 5}
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], DOCS)
     model = train_quality(docs, spark.createDataFrame([], "doc_id long, quality int"), QUALITY)
