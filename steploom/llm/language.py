@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,56 +22,46 @@ _SALTS = 16
 class LangConfig:
     """``landmarks`` texts span the feature space and ``sample`` texts are learned from, both split evenly over the languages.
 
-    ``letters``: size of the alphabet, which is learned from the landmarks; other letters
-    share one sign, and everything between words is one gap.  Grams of 1 to 3 signs.
+    Grams of 1 to 3 signs: all letters of all scripts, and one gap for everything between words.
+    They are hashed into ``2 ** slot_bits`` slots.
     """
 
     landmarks: int = 128
     sample: int = 1600
-    letters: int = 46
+    slot_bits: int = 17
     ridge: float = 1e-2
     sharpness: float = 4.0
     held_out: tuple[int, int] = (4, 2)
 
-    @property
-    def signs(self) -> int:
-        return self.letters + 2
-
-
-def alphabet_of(texts: list[str], config: LangConfig) -> np.ndarray:
-    """Sign of every code point: 0 for gaps, 1 for rare letters, the rest for the letters most texts have."""
-    seen = Counter(c for t in texts for c in set(t.lower()) if c.isalpha())
-    table = np.zeros(0x110000, dtype=np.uint8)
-    common = sorted(seen, key=lambda c: (-seen[c], c))[: config.letters]
-    for i, c in enumerate(common):
-        table[ord(c)] = i + 2
-    return table
-
 
 def _letters() -> np.ndarray:
     """Which code points are letters."""
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
+#: Multipliers of the signs of a gram, and what tells grams of different lengths apart.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
+_LENGTHS = np.array([0, 0x2545F4914F6CDD1D, 0xA0761D6478BD642F], dtype=np.uint64)
+
+
 class Grams:
     """Presence of the grams of one, two and three signs in texts."""
 
-    def __init__(self, table: np.ndarray, signs: int):
-        self.table = np.where((table == 0) & _letters(), 1, table).astype(np.int32)
-        self.signs = signs
-        self.size = signs + signs**2 + signs**3
+    def __init__(self, slot_bits: int):
+        self.table = np.where(_letters(), np.arange(0x110000), 0).astype(np.uint64)
+        self.size = 1 << slot_bits
+        self.shift = np.uint64(64 - slot_bits)
 
     def presence(self, texts: list[str]) -> np.ndarray:
         found = np.zeros((len(texts), self.size), dtype=bool)
-        a = self.signs
         for row, text in zip(found, texts, strict=True):
             s = self.table[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-            s = np.concatenate([[0], s, [0]]).astype(np.int32)
+            s = np.concatenate([[0], s, [0]]).astype(np.uint64)
             s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-            row[s] = True
-            row[a + s[:-1] * a + s[1:]] = True
-            row[a + a * a + (s[:-2] * a + s[1:-1]) * a + s[2:]] = True
-        found[:, 0] = False
+            first, second, third = (s * f for f in _FACTORS)
+            row[first[s != 0] >> self.shift] = True
+            row[(first[:-1] + second[1:] + _LENGTHS[1]) >> self.shift] = True
+            row[(first[:-2] + second[1:-1] + third[2:] + _LENGTHS[2]) >> self.shift] = True
         return found
 
 
@@ -82,7 +71,6 @@ class LangModel:
 
     config: LangConfig
     languages: list[str]
-    table: np.ndarray
     vocabulary: np.ndarray
     landmarks: np.ndarray
     sizes: np.ndarray
@@ -93,7 +81,7 @@ class LangModel:
 
     def kernel(self, texts: list[str]) -> np.ndarray:
         """Normalised number of grams that each text shares with each landmark."""
-        grams = self.__dict__.get("_grams") or self.__dict__.setdefault("_grams", Grams(self.table, self.config.signs))
+        grams = self.__dict__.get("_grams") or self.__dict__.setdefault("_grams", Grams(self.config.slot_bits))
         found = grams.presence(texts)
         shared = found[:, self.vocabulary].astype(np.float32) @ self.landmarks
         sizes = np.maximum(found.sum(1), 1)
@@ -117,11 +105,10 @@ class LangModel:
 
 def landmark_model(texts: list[str], config: LangConfig) -> LangModel:
     """A model that knows its landmarks and no language yet."""
-    table = alphabet_of(texts, config)
-    found = Grams(table, config.signs).presence(texts)
+    found = Grams(config.slot_bits).presence(texts)
     vocabulary = np.flatnonzero(found.any(0))
     columns = found[:, vocabulary].T.astype(np.float32)
-    return LangModel(config, [], table, vocabulary, columns, np.maximum(found.sum(1), 1), np.zeros((0, 0)))
+    return LangModel(config, [], vocabulary, columns, np.maximum(found.sum(1), 1), np.zeros((0, 0)))
 
 
 def fit_languages(model: LangModel, among: np.ndarray, rows: np.ndarray, languages: list[str]) -> LangModel:

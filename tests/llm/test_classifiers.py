@@ -138,6 +138,16 @@ def test_language_edge_cases(spark):
     assert [r.score for r in got[:3]] == [0, 0, 0]
 
 
+def test_languages_of_a_rare_script(spark):
+    """Six languages share 60 letters; two of another script have words of the same lengths, in other letters or another order."""
+    latin = [chr(c) for c in [*range(97, 123), *range(0xE0, 0xF7), *range(0xF8, 0x104, 1)] if chr(c).isalpha()][:60]
+    rare = {"ka": "კალა მუნი ტორო", "kb": "ბრსთ ზმრკ პლვხ", "kc": "ალაკ ინუმ ოროტ"}
+    rows = [(100 * k + i, " ".join("".join(latin[j:] + latin[:j])[k : k + 50] for j in (i, i + 7)), f"l{k}") for k in range(6) for i in range(20)]
+    rows += [(1000 + 100 * k + i, f"{t} {t[i % 9 :]}", name) for k, (name, t) in enumerate(rare.items()) for i in range(40)]
+    model = train_languages(spark.createDataFrame(rows, DOCS + ", lang string"), LANGUAGE)
+    assert model.predict([t[:9] for t in rare.values()])[0] == list(rare)
+
+
 def test_learning_ignores_row_order(spark):
     docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
     a, b = train_languages(docs, LANGUAGE), train_languages(docs.repartition(7), LANGUAGE)
