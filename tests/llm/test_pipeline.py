@@ -29,7 +29,7 @@ def documents(spark):
 
 def test_registered():
     assert set(oracle_sql()) <= set(queries())
-    assert {"pipeline", *(f"op{n}_" for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10))} <= {
+    assert {"pipeline", *(f"op{n}_" for n in range(1, 14))} <= {
         q if q == "pipeline" else q.split("_")[0] + "_" for q in queries()
     }
     assert [name for name, _ in pipeline.STAGES] == ["quality_classifier", "quality_rules", "near_duplicates", "mixing", "packing"]
