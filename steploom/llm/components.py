@@ -1,37 +1,59 @@
-"""Connected components by repeated minima, with the state of each round on shared storage."""
+"""Connected components by contraction, with the state of each round on shared storage."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from steploom.session import materialize
 
 
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def contracted(edges: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
+    """One round over distinct ``edges`` (``a < b``): where each node goes (``node``, ``next``), and what edges are left.
+
+    A node goes to the node with the smallest hash among itself and its neighbours; the hash
+    is another one every round, so chains shrink as fast as stars whatever their ids are.
+    Edges get the new ends; those whose ends agree are settled and go, as do repeats.
+    Minima are combined before they are shuffled, and stored before they are joined, so the joins are
+    plain ones that Spark can split at a node with very many edges.
+    """
+    place = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("h"), c.alias("id"))
+    a, b = F.col("a"), F.col("b")
+    ends = edges.select(a.alias("node"), place(b).alias("near")).unionByName(edges.select(b.alias("node"), place(a).alias("near")))
+    nearest = ends.groupBy("node").agg(F.min("near").alias("near"))
+    moves = materialize(nearest.select("node", F.least("near", place(F.col("node")))["id"].alias("next")), "moves")
+    to = lambda end: moves.select(F.col("node").alias(end), F.col("next").alias(f"{end}_next"))
+    moved = edges.join(to("a"), "a").join(to("b"), "b").where("a_next <> b_next")
+    left = moved.select(*_ordered(F.col("a_next"), F.col("b_next"))).distinct()
+    return moves, materialize(left, "edges")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable node) for every end of ``edges`` (``a``, ``b``).
 
-    Each round gives a node the smallest label among itself and its neighbours, then the
-    label of that label; the number of rounds grows with the logarithm of the longest
-    path for the shallow trees that near-duplicate links form.  Minima are combined
-    before they are shuffled, and the joins are plain inner joins that Spark can split
-    where one node has very many edges.
+    Rounds of ``contracted`` until no edge is left; what goes on to the next round are
+    the edges between what is left of the nodes, so the work shrinks from round to round.
+    Then the rounds' moves are followed back from the last to the first, each met with the places its nodes
+    ended at.  A node with no edge but to itself is a component of its own.  Edges with a NULL
+    end and no edges give no rows.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialize(both.distinct(), "edges")
-    labels = materialize(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), "labels"
-    )
-    while True:
-        seen = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("near")), "b")
-        nearest = seen.groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        moved = labels.join(nearest, "node").select(
-            "node", "component", F.least("component", "near").alias("next")
-        )
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
-        stepped = materialize(
-            moved.join(jump, "next").select("node", "component", F.least("next", "far").alias("next")), "labels"
-        )
-        labels = stepped.select("node", F.col("next").alias("component"))
-        if stepped.where("component <> next").isEmpty():
-            return labels
+    stored = materialize(edges.where("a IS NOT NULL AND b IS NOT NULL").select(*_ordered(F.col("a"), F.col("b"))).distinct(), "edges")
+    own = stored.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
+    left = stored.where("a <> b")
+    rounds: list[DataFrame] = []
+    while not left.isEmpty():
+        moves, left = contracted(left, len(rounds))
+        rounds.append(moves)
+    if not rounds:
+        return own
+    ended = rounds.pop().select("node", F.col("next").alias("root"))
+    while rounds:
+        last = ended.select(F.col("node").alias("next"), "root")
+        ended = materialize(rounds.pop().join(last, "next", "left").select("node", F.coalesce("root", "next").alias("root")), "ended")
+    smallest = materialize(ended.groupBy("root").agg(F.min("node").alias("component")), "smallest")
+    named = ended.join(smallest, "root").select("node", "component")
+    return named if own.isEmpty() else named.unionByName(own.join(named.select("node"), "node", "left_anti"))

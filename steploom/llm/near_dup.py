@@ -247,8 +247,7 @@ def _confirmed_links(own: DataFrame, reps: DataFrame, config: NearDupConfig) ->
     )
     buckets = banded.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = buckets.where("first <> last").select("bucket", "first")
-    stars = banded.join(shared, "bucket").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    groups = connected_components(stars.distinct())
+    groups = connected_components(_stars(banded.join(shared, "bucket")))
     sized = groups.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "grp")
     weights = reps.groupBy("doc_id").agg(F.max("n_bytes").alias("n_bytes"))
     totals = sized.join(weights, "doc_id").groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
@@ -277,6 +276,18 @@ def _confirmed_links(own: DataFrame, reps: DataFrame, config: NearDupConfig) ->
     return links.unionByName(materialize(_compare(_stragglers(_labelled(large, links), config), config), "links"))
 
 
+def _stars(met: DataFrame) -> DataFrame:
+    """Edges that join each document with the firsts of its buckets.
+
+    A document names its smallest first only, and that one the others: in a hot group these are the
+    same few pairs for all members, so they fall together before anything is joined.
+    """
+    firsts = met.groupBy("doc_id").agg(F.array_sort(F.collect_set("first")).alias("firsts"))
+    hub = F.col("firsts")[0]
+    others = firsts.select(hub.alias("a"), F.explode(F.slice("firsts", 2, F.size("firsts"))).alias("b"))
+    return firsts.select(hub.alias("a"), F.col("doc_id").alias("b")).unionByName(others).where("a <> b").distinct()
+
+
 def _labelled(docs: DataFrame, links: DataFrame) -> DataFrame:
     """Documents with the smallest id of their component so far."""
     found = connected_components(links).select(F.col("node").alias("doc_id"), F.col("component"))
@@ -331,10 +342,15 @@ def _stragglers(labelled: DataFrame, config: NearDupConfig) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, config: NearDupConfig | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
-    Rows with a NULL id stay.  Of rows with equal ids one stays.
+    Rows with a NULL id stay.  Of rows with equal ids the one with the smallest text stays (a NULL
+    text only if there is no other), which is the text that was compared; of equal texts the
+    row with the smallest hash of all columns but maps.
     """
     verdicts = near_duplicate_components(docs, config, key, text)
     name = spare_name(docs, "_kept_id")
     kept = verdicts.where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias(name)).distinct()
-    chosen = docs.join(kept, F.col(key) == F.col(name)).drop(name).dropDuplicates([key])
-    return chosen.unionByName(docs.where(F.col(key).isNull()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    order = F.struct(F.col(text).isNull(), F.col(text), hashed)
+    chosen = docs.join(kept, F.col(key) == F.col(name)).groupBy(name).agg(F.min_by(F.struct(*columns), order).alias("row"))
+    return chosen.select("row.*").unionByName(docs.where(F.col(key).isNull()))

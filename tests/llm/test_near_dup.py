@@ -6,8 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from steploom.llm.components import connected_components
-from steploom.llm.near_dup import NearDupConfig, common_counts, drop_near_duplicates, near_duplicate_components, shingle_sets
+from steploom.llm.components import connected_components, contracted
+from steploom.llm.near_dup import NearDupConfig, _stars, common_counts, drop_near_duplicates, near_duplicate_components, shingle_sets
 from steploom.llm.setsketch import SketchConfig, likely_similarity, sketches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -115,6 +115,38 @@ def test_components(spark):
     assert {x.node: x.component for x in got.collect()} == {x: find(x) for x in list(root)}
 
 
+def test_components_of_loops_nulls_and_nothing(spark):
+    made = lambda rows: sorted(tuple(x) for x in connected_components(spark.createDataFrame(rows, "a long, b long")).collect())
+    assert made([]) == []
+    assert made([(4, 4), (4, 4)]) == [(4, 4)]
+    assert made([(4, 4), (5, 4), (4, 5), (6, 6), (None, 7), (8, None)]) == [(4, 4), (5, 4), (6, 6)]
+
+
+def test_edges_of_a_hot_group_shrink_every_round(spark):
+    r = random.Random(6)
+    edges = {tuple(sorted((i, r.randrange(i)))) for i in range(1, 1500) for _ in range(10)} | {(i, i + 1) for i in range(2000, 2400)}
+    left, sizes = spark.createDataFrame(sorted(edges), "a long, b long"), [len(edges)]
+    while sizes[-1]:
+        left = contracted(left, len(sizes))[1]
+        sizes.append(left.count())
+    assert all(2 * b <= a for a, b in zip(sizes, sizes[1:], strict=False)), sizes
+
+
+def test_members_of_a_hot_group_name_one_first(spark):
+    rows = spark.createDataFrame([(d, f) for d in range(10, 200) for f in (1, 3, d % 3 + 5)], "doc_id long, first long")
+    edges = {tuple(e) for e in _stars(rows).collect()}
+    assert len(edges) == 190 + 4 and {e for e in edges if e[1] < 10} == {(1, 3), (1, 5), (1, 6), (1, 7)}
+
+
+def test_the_smallest_text_of_an_id_stays_in_any_layout(spark):
+    rows = [(1, "b c", "x"), (1, "a z", "y"), (1, None, "z"), (2, None, "q"), (2, None, "q"), (3, "t", "m"), (3, "t", "n")]
+    found = []
+    for turn in range(4):
+        docs = spark.createDataFrame(rows[turn:] + rows[:turn], SCHEMA + ", row string").repartition(1 + turn)
+        found.append(sorted(tuple(map(str, r)) for r in drop_near_duplicates(docs).collect()))
+    assert found == [found[0]] * 4 and [r[1] for r in found[0]] == ["a z", "None", "t"]
+
+
 def test_sketches_merge_and_estimate():
     config = SketchConfig(bands=64, rows=8)
     r = np.random.default_rng(2)
