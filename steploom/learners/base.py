@@ -103,6 +103,18 @@ def prepare(
     return Prepared(profile, ready, scaled, learner.prepare(scaled, config, keys) if hasattr(learner, "prepare") else None)
 
 
+def _joined(
+    z: DataFrame, given: Prepared, horizon: int, config: SeriesModel, learner: Learner, keys: Sequence[str]
+) -> DataFrame:
+    """Scaled predictions in their series' units, with the persistence of the series that are too short."""
+    columns = [*keys, "origin", "step_no", "yhat"]
+    profiled = z.join(given.ready.select(*keys, "origin", "level", "spread"), list(keys))
+    trained = profiled.withColumn("yhat", F.col("level") + F.col("spread") * F.col("z")).select(*columns)
+    short = given.profile.where(~learner.trainable(config))
+    repeated = persistence(short, horizon, config.resolution, keys).withColumnRenamed("issue_time", "origin")
+    return trained.unionByName(repeated.select(*columns))
+
+
 def forecast_filled(
     filled: DataFrame,
     horizon: int,
@@ -117,11 +129,24 @@ def forecast_filled(
     Predictions meet their series' profile once, for scale and origin together.
     """
     given = prepared or prepare(filled, config, learner, keys)
-    profile, ready, long = given.profile, given.ready, learner.trainable(config)
     shared = {} if given.features is None else {"features": given.features}
-    z, info = learner.forecast(given.scaled, ready, horizon, config, keys, **shared)
-    columns = [*keys, "origin", "step_no", "yhat"]
-    profiled = z.join(ready.select(*keys, "origin", "level", "spread"), list(keys))
-    trained = profiled.withColumn("yhat", F.col("level") + F.col("spread") * F.col("z")).select(*columns)
-    short = persistence(profile.where(~long), horizon, config.resolution, keys).withColumnRenamed("issue_time", "origin")
-    return trained.unionByName(short.select(*columns)), info
+    z, info = learner.forecast(given.scaled, given.ready, horizon, config, keys, **shared)
+    return _joined(z, given, horizon, config, learner, keys), info
+
+
+def forecast_filled_stages(
+    filled: DataFrame,
+    horizon: int,
+    config: SeriesModel,
+    learner: Learner,
+    stages: Sequence[int],
+    keys: Sequence[str] = KEYS,
+    prepared: Prepared | None = None,
+) -> dict[int, DataFrame]:
+    """``forecast_filled`` after each number of trees, from one fit if the learner has stages."""
+    if not hasattr(learner, "forecast_stages"):
+        return dict.fromkeys(stages, forecast_filled(filled, horizon, config, learner, keys, prepared)[0])
+    given = prepared or prepare(filled, config, learner, keys)
+    shared = {} if given.features is None else {"features": given.features}
+    paths, _ = learner.forecast_stages(given.scaled, given.ready, horizon, config, stages, keys, **shared)
+    return {n: _joined(z, given, horizon, config, learner, keys) for n, z in paths.items()}

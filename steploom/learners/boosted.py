@@ -11,18 +11,19 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..operators.encoding import CODE, SLOTS, code_sums, code_table, season_code
 from ..operators.features import features_of
 from ..operators.splits import trainable
 from ..schemas import KEYS, SeriesModel
 from ..session import checkpoint_folder, fresh_path, materialize
 from .base import tails
 from .recursion import recursive_forecast
+from .seriestrees import SeriesBoostedLearner
 
 
-def _assembler(config: SeriesModel) -> VectorAssembler:
-    return VectorAssembler(inputCols=config.feature_cols, outputCol="features")
+def _assembler(config: SeriesModel, coded: bool = False) -> VectorAssembler:
+    return VectorAssembler(inputCols=[*config.feature_cols, *([CODE] if coded else [])], outputCol="features")
 
 
 def _regressor(config: SeriesModel) -> GBTRegressor:
@@ -99,19 +100,22 @@ class BoostedLearner:
     """Squared-error boosted trees.
 
     ``scope="pooled"`` fits one model on the scaled rows of all series, so training is
-    spread by rows however many series there are or however long one of them is.
-    ``scope="series"`` fits one model per series, as many as there are, a few side by side;
-    each fit is itself a distributed job on the series' own files.  It takes time in
-    proportion to the number of series, so the pooled scope is the choice for many.
+    spread by rows however many series there are or however long one of them is.  With ``coded`` the
+    pooled model also sees what is usual for a row's series and season slot (``season_code``), so
+    it can tell series apart.  ``scope="series"`` fits one model per series, all side by side
+    (``SeriesBoostedLearner``).
     """
 
     info_cols = ("train_rows", "n_features")
     splits = True
 
-    def __init__(self, scope: str = "pooled"):
+    def __init__(self, scope: str = "pooled", coded: bool = False):
         if scope not in ("pooled", "series"):
             raise ValueError("scope is either 'pooled' or 'series'")
-        self.scope = scope
+        if coded and scope == "series":
+            raise ValueError("a model of one series needs no code for it")
+        self.scope, self.coded = scope, coded
+        self._own = SeriesBoostedLearner() if scope == "series" else None
 
     def trainable(self, config: SeriesModel) -> Column:
         return trainable(config)
@@ -119,42 +123,51 @@ class BoostedLearner:
     def fit(self, features: DataFrame, config: SeriesModel) -> PipelineModel:
         """One model on all given feature rows."""
         checkpoint_folder(features.sparkSession)
-        assembler = _assembler(config)
+        assembler = _assembler(config, self.coded)
         rows = assembler.transform(features).select("features", "y")
         return PipelineModel([assembler, _regressor(config).fit(rows)])
 
-    def _groups(self, rows: DataFrame, keys: Sequence[str]) -> list[tuple[dict, DataFrame]]:
-        if self.scope == "pooled":
-            return [({}, rows)]
-        # Stored by key, so that a series' fit reads its own rows and no others.
-        path = fresh_path(rows.sparkSession, "by-series")
-        copies = {f"_by_{i}": F.col(k) for i, k in enumerate(keys)}
-        rows.withColumns(copies).repartition(*copies).write.partitionBy(*copies).parquet(path)
-        schema = T.StructType([*rows.schema.fields, *[T.StructField(c, T.StringType()) for c in copies]])
-        stored = rows.sparkSession.read.schema(schema).parquet(path)
-        groups = []
-        for key in rows.select(*keys).distinct().orderBy(*keys).toLocalIterator():
-            own = stored
-            for c, k in zip(copies, keys, strict=True):
-                own = own.where(F.col(c) == key[k])
-            groups.append((key.asDict(), own.drop(*copies)))
-        return groups
-
     def fit_predict(
         self, train: DataFrame, test: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> DataFrame:
         """Test rows with their prediction ``z``."""
-        test_groups = dict((tuple(sorted(k.items())), g) for k, g in self._groups(test, keys))
-        out = None
-        for key, rows in self._groups(train, keys):
-            part = self.fit(rows, config).transform(test_groups[tuple(sorted(key.items()))]).drop("features")
-            out = part if out is None else out.unionByName(part)
-        return test.withColumn("z", F.lit(None).cast("double")).limit(0) if out is None else out
+        if self._own:
+            return self._own.fit_predict(train, test, config, keys)
+        if train.isEmpty():
+            return test.withColumn("z", F.lit(None).cast("double")).limit(0)
+        if self.coded:
+            sums = code_sums(train, config, keys)
+            train, test = season_code(train, sums, config, keys), season_code(test, sums, config, keys, own_fold=False)
+        return self.fit(train, config).transform(test).drop("features", CODE)
 
     def prepare(self, scaled: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
         """Feature rows, written once for all settings that are fitted on them."""
         return materialize(features_of(scaled, config, list(keys)), "features")
 
+    def forecast_stages(
+        self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, stages: Sequence[int],
+        keys: Sequence[str] = KEYS, features: DataFrame | None = None,
+    ) -> tuple[dict[int, DataFrame], DataFrame]:
+        """Paths after each number of trees in ``stages``, from one fit of the largest, and training information."""
+        keys = list(keys)
+        if self._own:
+            return self._own.forecast_stages(scaled, profile, horizon, config, stages, keys, features)
+        rows = self.prepare(scaled, config, keys) if features is None else features
+        states = tails(scaled, config.reach, config, keys)
+        info = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).cast("double").alias("train_rows"),
+            F.lit(float(len(config.feature_cols) + self.coded)).alias("n_features"),
+        )
+        if rows.isEmpty():
+            nothing = states.select(*keys, F.lit(1).alias("step_no"), F.lit(0.0).alias("z")).limit(0)
+            return dict.fromkeys(stages, nothing), info
+        if self.coded:
+            sums = code_sums(rows, config, keys)
+            rows, states = season_code(rows, sums, config, keys), states.join(code_table(sums, config, keys), keys)
+        trees = tree_arrays(self.fit(rows, config).stages[-1], rows.sparkSession)
+        step = lambda n: _stepper({name: part[:n] for name, part in trees.items()}, config, self.coded)
+        return {n: recursive_forecast(states, horizon, config, step(n), keys) for n in stages}, info
+
     def forecast(
         self,
         scaled: DataFrame,
@@ -164,29 +177,18 @@ class BoostedLearner:
         keys: Sequence[str] = KEYS,
         features: DataFrame | None = None,
     ) -> tuple[DataFrame, DataFrame]:
-        keys = list(keys)
-        rows = self.prepare(scaled, config, keys) if features is None else features
-        states = tails(scaled, config.reach, config, keys)
-        info = rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).cast("double").alias("train_rows"),
-            F.lit(float(len(config.feature_cols))).alias("n_features"),
-        )
-        if rows.isEmpty():
-            nothing = states.select(*keys, F.lit(1).alias("step_no"), F.lit(0.0).alias("z")).limit(0)
-            return nothing, info
-        paths = None
-        for key, part in self._groups(rows, keys):
-            trees = tree_arrays(self.fit(part, config).stages[-1], rows.sparkSession)
-            own = states
-            for k, v in key.items():
-                own = own.where(F.col(k) == v)
-            path = recursive_forecast(own, horizon, config, _stepper(trees), keys)
-            paths = path if paths is None else paths.unionByName(path)
-        return paths, info
-
-
-def _stepper(trees: dict[str, np.ndarray]):
+        count = config.trees.n_estimators
+        paths, info = self.forecast_stages(scaled, profile, horizon, config, [count], keys, features)
+        return paths[count], info
+
+
+def _stepper(trees: dict[str, np.ndarray], config: SeriesModel, coded: bool):
+    at = config.feature_cols.index(SLOTS[config.resolution][0]) if coded else 0
+
     def step(batch: pd.DataFrame, x: np.ndarray) -> np.ndarray:
+        if coded:
+            codes = np.stack([np.asarray(c, dtype=float) for c in batch[CODE]])
+            x = np.column_stack([x, codes[np.arange(len(x)), x[:, at].astype(int)]])
         return walk(trees, x)
 
     return step

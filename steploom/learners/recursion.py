@@ -29,6 +29,38 @@ def _calendar(times: np.ndarray, config: SeriesModel) -> dict[str, np.ndarray]:
     return out
 
 
+def advance_paths(batch: pd.DataFrame, horizon: int, config: SeriesModel, predict: Predict, keys: Sequence[str]) -> pd.DataFrame:
+    """Paths ``z`` (arrays) of the series in a batch of states, one step of all of them after the other."""
+    reach, step = config.reach, np.timedelta64(config.step_us, "us")
+    seen = np.full((len(batch), reach + horizon), np.nan)
+    for row, tail in enumerate(batch["value"]):
+        tail = np.asarray(tail, dtype=float)[-reach:]
+        seen[row, reach - len(tail) : reach] = tail
+    origin = batch["origin"].to_numpy(dtype="datetime64[us]")
+    for i in range(horizon):
+        now = reach + i
+        calendar = _calendar(origin + step * (i + 1), config) if config.calendar else {}
+        x = np.column_stack(
+            [calendar[c] for c in config.calendar_cols]
+            + [seen[:, now - k] for k in config.lags]
+            + [seen[:, now - w : now].mean(axis=1) for w in config.roll_windows]
+        )
+        seen[:, now] = predict(batch, x)
+    out = batch[list(keys)].copy()
+    out["z"] = list(seen[:, reach:])
+    return out
+
+
+def path_schema(states: DataFrame, keys: Sequence[str]) -> T.StructType:
+    return T.StructType([states.schema[k] for k in keys] + [T.StructField("z", T.ArrayType(T.DoubleType()))])
+
+
+def unfold_paths(paths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``keys, step_no, z`` for each step of the paths."""
+    steps = paths.select(*keys, F.posexplode("z").alias("_i", "z"))
+    return steps.select(*keys, (F.col("_i") + 1).alias("step_no"), "z")
+
+
 def recursive_forecast(
     states: DataFrame, horizon: int, config: SeriesModel, predict: Predict, keys: Sequence[str]
 ) -> DataFrame:
@@ -37,32 +69,10 @@ def recursive_forecast(
     ``predict`` gets the batch and its feature rows in ``config.feature_cols`` order.
     """
     keys = list(keys)
-    reach, step = config.reach, np.timedelta64(config.step_us, "us")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            seen = np.full((len(batch), reach + horizon), np.nan)
-            for row, tail in enumerate(batch["value"]):
-                tail = np.asarray(tail, dtype=float)[-reach:]
-                seen[row, reach - len(tail) : reach] = tail
-            origin = batch["origin"].to_numpy(dtype="datetime64[us]")
-            for i in range(horizon):
-                now = reach + i
-                calendar = _calendar(origin + step * (i + 1), config) if config.calendar else {}
-                x = np.column_stack(
-                    [calendar[c] for c in config.calendar_cols]
-                    + [seen[:, now - k] for k in config.lags]
-                    + [seen[:, now - w : now].mean(axis=1) for w in config.roll_windows]
-                )
-                seen[:, now] = predict(batch, x)
-            out = batch[keys].copy()
-            out["z"] = list(seen[:, reach:])
-            yield out
-
-    schema = T.StructType([states.schema[k] for k in keys] + [T.StructField("z", T.ArrayType(T.DoubleType()))])
-    paths = states.mapInPandas(run, schema)
-    return paths.select(*keys, F.posexplode("z").alias("_i", "z")).select(
-        *keys, (F.col("_i") + 1).alias("step_no"), "z"
-    )
+            if not batch.empty:
+                yield advance_paths(batch, horizon, config, predict, keys)
+
+    return unfold_paths(states.mapInPandas(run, path_schema(states, keys)), keys)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.errors import by_series, error_sums
 from ..learners.arima import Order, forecast_orders, order_grid
-from ..learners.base import Learner, forecast_filled, prepare, profile_of, scale, unscale
+from ..learners.base import Learner, forecast_filled_stages, prepare, profile_of, scale, unscale
 from ..operators.buckets import positions
 from ..operators.evaluate import best_combo, combo_scores, join_actual_forecast
 from ..operators.gridding import regular_grid
@@ -31,6 +31,16 @@ def grid_combos(grid: dict[str, list] | None = None) -> list[dict]:
     return [{"combo_id": i, **{p: kinds[p](v) for p, v in zip(PARAMETERS, row)}} for i, row in enumerate(rows)]
 
 
+def shared_fits(combos: Sequence[dict], learner: Learner) -> list[list[dict]]:
+    """Combinations that one fit serves: those that differ in the number of trees only, if the learner has stages."""
+    if not hasattr(learner, "forecast_stages"):
+        return [[c] for c in combos]
+    groups: dict[tuple, list[dict]] = {}
+    for c in combos:
+        groups.setdefault(tuple(c[p] for p in PARAMETERS if p != "n_estimators"), []).append(c)
+    return list(groups.values())
+
+
 def series_x_params(series: DataFrame, combos: Sequence[dict]) -> DataFrame:
     """Each series with each combination; the combinations travel as one literal array."""
     rows = F.array(
@@ -74,21 +84,28 @@ def grid_search(
 ) -> DataFrame:
     """Mean percentage error of each combination over all series of a window.
 
-    The combinations are few and known up front; each one is a distributed job over
+    The combinations are few and known up front; each fit is a distributed job over
     all series, and profiles, scaled grids and feature rows are made once for all.
+    Combinations that differ in the number of trees share one fit: the shorter ones are
+    scored by its first trees.
     """
     keys = list(keys)
     train, held = tuning_split(df, window, keys, max_train_steps)
     train, held = materialize(train, "train"), materialize(held, "held")
     prepared = prepare(train, model_for(window.resolution), learner, keys, store=True)
 
-    def run(combo: dict) -> DataFrame:
-        config = model_for(window.resolution, {p: combo[p] for p in PARAMETERS})
-        steps, _ = forecast_filled(train, window.horizon, config, learner, keys, prepared)
-        scores = score_combo(steps, held, window.horizon, keys)
-        return scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()])
-
-    scored = side_by_side(df.sparkSession, (partial(run, combo) for combo in grid_combos(grid)))
+    def run(combos: list[dict]) -> DataFrame:
+        most = max(combos, key=lambda c: c["n_estimators"])
+        config = model_for(window.resolution, {p: most[p] for p in PARAMETERS})
+        stages = [c["n_estimators"] for c in combos]
+        paths = forecast_filled_stages(train, window.horizon, config, learner, stages, keys, prepared)
+        parts = []
+        for combo in combos:
+            scores = score_combo(paths[combo["n_estimators"]], held, window.horizon, keys)
+            parts.append(scores.select("*", *[F.lit(v).alias(k) for k, v in combo.items()]))
+        return reduce(DataFrame.unionByName, parts)
+
+    scored = side_by_side(df.sparkSession, (partial(run, group) for group in shared_fits(grid_combos(grid), learner)))
     results = reduce(DataFrame.unionByName, scored)
     measures = ["mae", "rmse", "mape", "smape"]
     return combo_scores(results, ["combo_id", *PARAMETERS], measures).select(

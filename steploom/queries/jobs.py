@@ -11,6 +11,9 @@ from ..learners.boosted import BoostedLearner
 from ..learners.linear import LinearLearner
 from ..learners.seasonal import SeasonalNaive
 from ..learners.seasonal import seasonal_naive as one_season_back
+from ..learners.seriestrees import SeriesBoostedLearner, SeriesTreeOptions, fit_series, predict_series
+from ..operators import encoding
+from ..operators.encoding import FOLDS, WEIGHT
 from ..operators.evaluate import best_combo
 from ..operators.features import feature_matrix
 from ..operators.gridding import regular_grid
@@ -77,6 +80,83 @@ def fit_boosted_stumps(spark, sf_dir):
     return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
 
 
+def _boosting_sql(lags: tuple[int, ...], rounds: int, levels: int, bins: int, rate: float, penalty: float) -> str:
+    """Boosting from histograms of equal-width bins, written out round by round and level by level."""
+    key, at = "region, series", ", ".join(f"lag_{k}" for k in lags)
+    looked = ", ".join(f"lag(value, {k}) OVER (PARTITION BY {key} ORDER BY period) AS lag_{k}" for k in lags)
+    value = lambda g, h: f"(-{rate} * {g} / ({h} + {penalty}))"
+    score = lambda g, h: f"({g} * {g} / ({h} + {penalty}))"
+    parts = [
+        f"""seen AS (SELECT {key}, period, y, [{at}] AS xs FROM (SELECT {key}, period, value AS y, {looked} FROM hfilled) WHERE lag_{max(lags)} IS NOT NULL)""",
+        f"""edges AS (SELECT {key}, f, k, lo + (hi - lo) * (k / {bins}.0) AS edge FROM (SELECT {key}, f, min(xs[f]) AS lo, max(xs[f]) AS hi
+            FROM seen, range(1, {len(lags) + 1}) AS c(f) GROUP BY ALL), range(1, {bins}) AS b(k))""",
+        f"p0 AS (SELECT *, avg(y) OVER (PARTITION BY {key}) AS p FROM seen)",
+    ]
+    for t in range(rounds):
+        parts.append(f"n{t}_0 AS (SELECT *, p - y AS g, 1 AS node FROM p{t})")
+        for level in range(levels):
+            rows = f"n{t}_{level}"
+            parts.append(
+                f"""s{t}_{level} AS (SELECT {key}, node, f, k, edge, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain
+                FROM (SELECT {key}, node, f, k, edge, sum(g) AS g, count(*) AS h, coalesce(sum(g) FILTER (xs[f] <= edge), 0) AS gl, count(*) FILTER (xs[f] <= edge) AS hl
+                      FROM {rows} JOIN edges USING ({key}) GROUP BY ALL) WHERE hl >= 1 AND h - hl >= 1 AND node >= {1 << level}),
+                b{t}_{level} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}, node ORDER BY gain DESC, f, k) AS place FROM s{t}_{level}) WHERE place = 1 AND gain / 2 > 1e-6),
+                n{t}_{level + 1} AS (SELECT {key}, period, y, xs, p, g, CASE WHEN b.f IS NULL THEN r.node WHEN xs[b.f] <= b.edge THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+                FROM {rows} AS r LEFT JOIN b{t}_{level} AS b USING ({key}, node))"""
+            )
+        leaves = f"n{t}_{levels}"
+        parts.append(
+            f"p{t + 1} AS (SELECT {key}, period, y, xs, p + {value(f'sum(g) OVER (PARTITION BY {key}, node)', f'count(*) OVER (PARTITION BY {key}, node)')} AS p FROM {leaves})"
+        )
+    return "\n, " + ",\n".join(parts) + f"\nSELECT {key}, period, y, p AS yhat FROM p{rounds}"
+
+
+_SERIES_LAGS = (1, 2, 24)
+
+
+@query(
+    with_views(_boosting_sql(_SERIES_LAGS, rounds=2, levels=2, bins=8, rate=0.3, penalty=1.0), "hfilled").replace("\n, seen", ",\nseen"),
+    ["period"],
+    ["y", "yhat"],
+    digits=3,
+)
+def fit_boosted_series(spark, sf_dir):
+    """Two trees of two levels for every series, all series at once."""
+    trees = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
+    config = model_for("hourly", trees, lags=_SERIES_LAGS, roll_windows=(), calendar=False)
+    options = SeriesTreeOptions(edges="width", bins=8)
+    rows = materialize(feature_matrix(actuals(spark, sf_dir), config), "features")
+    fitted = predict_series(rows, fit_series(rows, config, options), config, options)
+    return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
+
+
+@query()
+def fit_boosted_default(spark, sf_dir):
+    """The default 600 trees of depth 6 on all feature rows, a model for each series."""
+    rows = materialize(feature_matrix(actuals(spark, sf_dir), HOURLY), "features")
+    fitted = predict_series(rows, fit_series(rows, HOURLY), HOURLY)
+    return fitted.select(*KEYS, "period", "y", F.col("z").alias("yhat"))
+
+
+@query(
+    with_views(
+        f"""SELECT region, series, period, y,
+                   (sum(y) OVER spot - sum(y) OVER own + {WEIGHT} * (sum(y) OVER () - sum(y) OVER fold) / (count(*) OVER () - count(*) OVER fold))
+                   / (count(*) OVER spot - count(*) OVER own + {WEIGHT}) AS usual
+            FROM (SELECT *, CAST(floor(epoch_us(period) / 86400000000) AS BIGINT) % {FOLDS} AS f FROM hfeatures)
+            WINDOW spot AS (PARTITION BY region, series, hour), own AS (PARTITION BY region, series, hour, f), fold AS (PARTITION BY f)""",
+        "hfeatures",
+    ),
+    ["period"],
+    ["y", "usual"],
+    digits=5,
+)
+def season_code(spark, sf_dir):
+    """What is usual for each series and hour, without the row's own fold."""
+    rows = materialize(feature_matrix(actuals(spark, sf_dir), HOURLY), "features")
+    return encoding.season_code(rows, encoding.code_sums(rows, HOURLY), HOURLY).select(*KEYS, "period", "y", encoding.CODE)
+
+
 _LINEAR_COLUMNS = ("hour_sin", "dow_cos", "lag_1", "lag_2", "lag_24", "lag_168", "rollmean_24")
 
 
@@ -319,17 +399,6 @@ def refit_backtest_arima(spark, sf_dir):
     return backtesting.refit_backtest(actuals(spark, sf_dir), 48, HOURLY, arima.ArimaLearner()).overall
 
 
-#: A grid whose trees fit in seconds; the default grid trains 300 and 600 trees.
-_SMALL_GRID = {
-    "n_estimators": [4, 8],
-    "max_depth": [3],
-    "learning_rate": [0.3],
-    "subsample": [0.9],
-    "colsample_bytree": [0.9],
-    "min_child_weight": [1, 5],
-}
-
-
 class DepthSeason(SeasonalNaive):
     """Repeats as many last steps as ``max_depth`` says, so that a parameter changes the forecast."""
 
@@ -368,7 +437,8 @@ def grid_search(spark, sf_dir):
 
 @query()
 def grid_search_boosted(spark, sf_dir):
-    results = tuning.grid_search(actuals(spark, sf_dir), window("7d"), BoostedLearner(), _SMALL_GRID)
+    """The whole default grid with boosted trees, a model for each series; eight fits score all sixteen combinations."""
+    results = tuning.grid_search(actuals(spark, sf_dir), window("7d"), SeriesBoostedLearner())
     return best_combo(results)
 
 

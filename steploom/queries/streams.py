@@ -83,6 +83,16 @@ def stream_region_totals(spark, sf_dir):
     return streaming.current_totals(spark, path)
 
 
+@query(with_views("SELECT * FROM hourly_allowed", "hourly_allowed"), ["period"], ["value"])
+def stream_region_totals_repeated(spark, sf_dir):
+    """Every event delivered twice, in one query that drops repeats and then adds up."""
+    path, checkpoint = fresh_path(spark, "revisions"), fresh_path(spark, "checkpoint")
+    events = event_stream(spark, sf_dir)
+    totals = streaming.stream_region_totals(events.unionByName(events), HOURLY_REGIONS, identity=["event_id"])
+    streaming.write_revisions(totals, path, checkpoint).awaitTermination()
+    return streaming.current_totals(spark, path)
+
+
 @query(
     "SELECT event_id, event_type AS parent, ts AS period, value FROM events", ["period"], ["value"]
 )

@@ -56,10 +56,19 @@ def default_lateness(resolution: str) -> str:
 
 
 def stream_region_totals(
-    readings: DataFrame, regions: Sequence[str], resolution: str = "hourly", lateness: str | None = None
+    readings: DataFrame,
+    regions: Sequence[str],
+    resolution: str = "hourly",
+    lateness: str | None = None,
+    identity: Sequence[str] | None = None,
 ) -> DataFrame:
     """Running totals per region and hour or day.
 
+    With ``identity`` a reading counts once however often it is delivered: two readings are the
+    same if these columns and the period agree.  Repeats are dropped by a stateful step of the same query that
+    forgets a reading once it is too old for its total, so both states are bounded by the lateness.
+    Without it every row counts.
+
     A late reading revises its total while it is less than ``lateness`` behind the
     newest one (by default the resolution's safety window) and is dropped after that,
     which also lets the state be cleared.
@@ -67,9 +76,11 @@ def stream_region_totals(
     typed = readings.withColumn("period", as_time(readings, "period", resolution))
     clean = normalize_readings(typed, regions, resolution)
     slot = F.window("period", "1 day" if resolution == "daily" else "1 hour")
+    timed = clean.withWatermark("period", lateness or default_lateness(resolution))
+    # The period is among the keys, so the state of a reading goes when the watermark passes it.
+    once = timed if identity is None else timed.dropDuplicates([*identity, "period"])
     totals = (
-        clean.withWatermark("period", lateness or default_lateness(resolution))
-        .groupBy(F.col("parent").alias("region"), slot.alias("slot"))
+        once.groupBy(F.col("parent").alias("region"), slot.alias("slot"))
         .agg(F.sum("value").alias("value"))
     )
     return totals.select(
