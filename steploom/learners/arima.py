@@ -3,12 +3,15 @@
 With ``w`` the values differenced once and once over the season: a long
 autoregression of ``w`` gives residuals, then ``w`` is regressed on its own lags and
 on lagged residuals.  Both steps are least squares from distributed cross products.
+The plain and the seasonal polynomial are multiplied, so the coefficients at the product lags
+follow from the others; Gauss-Newton steps find the best ones.  Since the residual sum of squares
+is a quadratic form of the multiplied coefficients, sum and Jacobian products of every step come from the same
+cross products and no step reads the data again.
 Values before a series' start count as zero.  Since every order only picks lags from
 one common set, all orders of a grid share both passes over the data.
 
-This is conditional least squares with free coefficients at the product lags, not an
-exact likelihood, so estimates and criteria are close to but not those of a state
-space fit.
+This is conditional least squares, not an exact likelihood, so estimates and criteria are
+close to but not those of a state space fit.
 """
 
 from __future__ import annotations
@@ -29,18 +32,26 @@ from ..session import materialize
 from .gram import OPEN_SERIES, OpenSums, products_schema, solve, sum_products, unpack
 
 LONG_ORDER = 48
+#: Rows of a series that the long autoregression needs for each of its lags; shorter series use fewer lags.
+ROWS_PER_LAG = 3
 RIDGE = 1e-8
+#: Gauss-Newton steps at most, and halvings of one.
+STEPS, HALVINGS = 100, 40
 
 
 @dataclass(frozen=True)
 class Order:
-    """Autoregressive and moving-average orders, plain and seasonal; both differences are 1."""
+    """Autoregressive and moving-average orders, plain and seasonal; both differences are 1.
+
+    ``multiplicative=False`` leaves the coefficients at the product lags free.
+    """
 
     p: int = 1
     q: int = 2
     P: int = 1
     Q: int = 1
     season: int = 24
+    multiplicative: bool = True
 
     @property
     def ar_lags(self) -> list[int]:
@@ -50,6 +61,15 @@ class Order:
     def ma_lags(self) -> list[int]:
         return [*range(1, self.q + 1), *([self.season + i for i in range(self.q + 1)] if self.Q else [])]
 
+    @property
+    def products(self) -> bool:
+        """Whether some coefficient follows from others."""
+        return self.multiplicative and bool((self.p and self.P) or (self.q and self.Q))
+
+    @property
+    def parameters(self) -> int:
+        return self.p + bool(self.P) + self.q + bool(self.Q) if self.multiplicative else len(self.ar_lags + self.ma_lags)
+
     @property
     def label(self) -> str:
         return f"({self.p},1,{self.q})×({self.P},1,{self.Q},{self.season})"
@@ -92,7 +112,7 @@ def _lags(x: np.ndarray, lags: Sequence[int], start: int) -> np.ndarray:
     return out
 
 
-def _long_model(products: DataFrame, keys: list[str], long: int) -> DataFrame:
+def _long_model(products: DataFrame, keys: list[str], long: int, rows_per_lag: int) -> DataFrame:
     """Long autoregression per series; short series use fewer lags, the rest is zero."""
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +121,7 @@ def _long_model(products: DataFrame, keys: list[str], long: int) -> DataFrame:
                 continue
             full = unpack(np.stack(batch["products"].to_numpy()), long + 2)
             coef = np.zeros((len(batch), long + 1))
-            size = np.minimum(long, batch["rows"].to_numpy() // 3) + 1
+            size = np.minimum(long, batch["rows"].to_numpy() // rows_per_lag) + 1
             for m in np.unique(size):
                 at = np.flatnonzero(size == m)
                 coef[at, :m] = solve(full[at, :m, :m], full[at, :m, -1], RIDGE)
@@ -115,8 +135,13 @@ def _long_model(products: DataFrame, keys: list[str], long: int) -> DataFrame:
     return products.mapInPandas(fit, schema)
 
 
-def long_autoregression(chunks: DataFrame, season: int, long: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Coefficients ``long_coef`` of ``w`` on its last ``long`` values, intercept first."""
+def long_autoregression(
+    chunks: DataFrame, season: int, long: int, keys: Sequence[str] = KEYS, rows_per_lag: int = ROWS_PER_LAG
+) -> DataFrame:
+    """Coefficients ``long_coef`` of ``w`` on its last ``long`` values, intercept first.
+
+    A series uses one lag for every ``rows_per_lag`` rows, ``long`` at most.
+    """
     keys = list(keys)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +157,7 @@ def long_autoregression(chunks: DataFrame, season: int, long: int, keys: Sequenc
         yield from sums.flush()
 
     parts = chunks.mapInPandas(partial, products_schema(chunks, keys))
-    return _long_model(sum_products(parts, keys), keys, long)
+    return _long_model(sum_products(parts, keys), keys, long, rows_per_lag)
 
 
 def _chunk_rows(batch: pd.DataFrame, keys: list[str]):
@@ -146,9 +171,10 @@ class ArimaLearner:
     info_cols = ("aic", "bic", "hqic", "llf")
     splits = False
 
-    def __init__(self, order: Order | None = None, min_observations: int = 96):
+    def __init__(self, order: Order | None = None, min_observations: int = 96, rows_per_lag: int = ROWS_PER_LAG):
         self.order = order or Order()
         self.min_observations = min_observations
+        self.rows_per_lag = rows_per_lag
 
     def trainable(self, config: SeriesModel) -> Column:
         return F.col("points") >= self.min_observations
@@ -156,7 +182,7 @@ class ArimaLearner:
     def forecast(
         self, scaled: DataFrame, profile: DataFrame, horizon: int, config: SeriesModel, keys: Sequence[str] = KEYS
     ) -> tuple[DataFrame, DataFrame]:
-        paths, info = forecast_orders(scaled, profile, horizon, config, [self.order], keys)
+        paths, info = forecast_orders(scaled, profile, horizon, config, [self.order], keys, self.rows_per_lag)
         return paths.drop("combo_id"), info.drop("combo_id", "order")
 
 
@@ -167,6 +193,7 @@ def forecast_orders(
     config: SeriesModel,
     orders: Sequence[Order],
     keys: Sequence[str] = KEYS,
+    rows_per_lag: int = ROWS_PER_LAG,
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions ``keys, combo_id, step_no, z`` and criteria of every order."""
     keys, orders = list(keys), list(orders)
@@ -180,7 +207,7 @@ def forecast_orders(
     back = season + 1
     reach = max([1, *ar, *ma])
     chunks = materialize(chunks_of(scaled, back + long + reach, config, keys), "chunks")
-    modelled = chunks.join(long_autoregression(chunks, season, long, keys), keys)
+    modelled = chunks.join(long_autoregression(chunks, season, long, keys, rows_per_lag), keys)
     names = [*[f"w{k}" for k in ar], *[f"e{k}" for k in ma]]
 
     def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,7 +251,7 @@ def forecast_orders(
             for combo, order in enumerate(orders):
                 own = [f"w{k}" for k in order.ar_lags] + [f"e{k}" for k in order.ma_lags]
                 at = [1 + names.index(c) for c in own]
-                coef, criteria = _fit_order(full, at, batch["spread"].to_numpy())
+                coef, criteria = _fit_order(full, at, batch["spread"].to_numpy(), order)
                 out = batch[keys].copy()
                 out["combo_id"], out["order"] = combo, order.label
                 for name, column in criteria.items():
@@ -256,7 +283,69 @@ def _stack(column: pd.Series, length: int) -> np.ndarray:
     return out
 
 
-def _fit_order(full: np.ndarray, at: list[int], spread: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def multiplied(order: Order, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients at ``ar_lags + ma_lags`` from those of the polynomials (p, P, q, Q in this order), and their Jacobian."""
+    size = len(order.ar_lags) + len(order.ma_lags)
+    coef, jacobian = np.zeros((len(free), size)), np.zeros((len(free), size, free.shape[1]))
+    at = own = 0
+    for plain, seasonal, sign in ((order.p, bool(order.P), -1), (order.q, bool(order.Q), 1)):
+        for i in range(plain + seasonal):
+            coef[:, at + i] = free[:, own + i]
+            jacobian[:, at + i, own + i] = 1
+        if seasonal:
+            s = own + plain
+            for i in range(plain):
+                place = at + plain + 1 + i
+                coef[:, place] = sign * free[:, own + i] * free[:, s]
+                jacobian[:, place, own + i] = sign * free[:, s]
+                jacobian[:, place, s] = sign * free[:, own + i]
+        at += plain + seasonal * (plain + 1)
+        own += plain + seasonal
+    return coef, jacobian
+
+
+def multiplicative_fit(
+    gram: np.ndarray, moment: np.ndarray, energy: np.ndarray, order: Order, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Multiplied coefficients with the least residual sum of squares, and that sum, for stacked series.
+
+    Starts at the plain and seasonal coefficients of a free fit.  A step that would not lower the sum is
+    halved until it does, so the sum is never above that of the start.
+    """
+    ar = len(order.ar_lags)
+    starts = [*range(order.p + bool(order.P)), *[ar + i for i in range(order.q + bool(order.Q))]]
+    free = start[:, starts].copy()
+
+    def rss(coef: np.ndarray) -> np.ndarray:
+        return energy - 2 * (coef * moment).sum(1) + np.einsum("ni,nij,nj->n", coef, gram, coef)
+
+    coef, jacobian = multiplied(order, free)
+    best = rss(coef)
+    for _ in range(STEPS):
+        rest = moment - np.einsum("nij,nj->ni", gram, coef)
+        slope = np.einsum("nik,ni->nk", jacobian, rest)
+        curve = np.einsum("nik,nij,njl->nkl", jacobian, gram, jacobian)
+        curve += (1e-12 * np.trace(curve, axis1=1, axis2=2) + 1e-300)[:, None, None] * np.eye(free.shape[1])
+        step = np.linalg.solve(curve, slope[..., None])[..., 0]
+        moved, before = np.zeros(len(free), dtype=bool), best.copy()
+        for _ in range(HALVINGS):
+            tried = free + np.where(moved[:, None], 0, step)
+            value = rss(multiplied(order, tried)[0])
+            better = ~moved & (value < best)
+            free[better], best[better] = tried[better], value[better]
+            moved |= better
+            if moved.all():
+                break
+            step = step / 2
+        coef, jacobian = multiplied(order, free)
+        if not (before - best > 1e-13 * np.abs(before)).any():
+            break
+    return coef, best
+
+
+def _fit_order(
+    full: np.ndarray, at: list[int], spread: np.ndarray, order: Order
+) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Coefficients without intercept and Gaussian criteria in the series' own units."""
     n = full[:, 0, 0]
     moment = full[:, at, -1]
@@ -265,12 +354,14 @@ def _fit_order(full: np.ndarray, at: list[int], spread: np.ndarray) -> tuple[np.
         gram = full[np.ix_(range(len(full)), at, at)]
         shrink = RIDGE * n[:, None, None] * np.eye(len(at))
         coef = np.linalg.solve(gram + shrink, moment[..., None])[..., 0]
+        if order.products:
+            coef, _ = multiplicative_fit(gram + shrink, moment, energy, order, coef)
         rss = energy - 2 * (coef * moment).sum(1) + np.einsum("ni,nij,nj->n", coef, gram, coef)
     else:
         coef, rss = np.zeros((len(full), 0)), energy
     variance = np.maximum(rss / n, 1e-300) * spread**2
     llf = -n / 2 * (np.log(2 * math.pi * variance) + 1)
-    k = len(at) + 1
+    k = order.parameters + 1
     return coef, {
         "aic": 2 * k - 2 * llf,
         "bic": k * np.log(n) - 2 * llf,

@@ -314,6 +314,32 @@ def arima_grid_search_differences(spark, sf_dir):
     return results.select("params", *ERRORS, "n_series")
 
 
+@query(
+    with_views(
+        """, steps AS (SELECT *, value - lag(value) OVER s - lag(value, 24) OVER s + lag(value, 25) OVER s AS w FROM hfilled
+                       WINDOW s AS (PARTITION BY region, series ORDER BY period)),
+           paired AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY region, series ORDER BY period), 0) AS w1 FROM steps WHERE w IS NOT NULL),
+           model AS (SELECT region, series, max(period) AS origin, sum(w * w1) / sum(w1 * w1) AS phi, arg_max(w, period) AS w, arg_max(value, period) AS last
+                     FROM paired GROUP BY region, series)
+           SELECT m.region, m.series, m.origin AS issue_time, CAST(h AS INTEGER) AS step_no, m.origin + h * INTERVAL 1 HOUR AS target_time,
+                  back.value + m.last - season.value + m.w * phi * (1 - power(phi, h)) / (1 - phi) AS yhat
+           FROM model AS m, range(1, 25) AS r(h), hfilled AS back, hfilled AS season
+           WHERE back.region = m.region AND back.series = m.series AND back.period = m.origin + (h - 24) * INTERVAL 1 HOUR
+             AND season.region = m.region AND season.series = m.series AND season.period = m.origin - INTERVAL 24 HOUR""",
+        "hfilled",
+    ).replace("\n, steps", ",\nsteps"),
+    ["issue_time", "target_time"],
+    ["yhat"],
+    digits=3,
+)
+def seasonal_arima_ar1(spark, sf_dir):
+    """(1,1,0)×(0,1,0,24): the coefficient is a ratio of two sums, and the path its powers."""
+    learner = arima.ArimaLearner(arima.Order(p=1, q=0, P=0, Q=0))
+    ahead = forecasting.forecast_grouped(actuals(spark, sf_dir), 24, HOURLY, learner)
+    hours = (F.unix_timestamp("target_time") - F.unix_timestamp("issue_time")) / 3600
+    return ahead.select(*KEYS, "issue_time", hours.cast("int").alias("step_no"), "target_time", "yhat")
+
+
 @query()
 def seasonal_arima(spark, sf_dir):
     return forecasting.forecast_grouped(actuals(spark, sf_dir), 168, HOURLY, arima.ArimaLearner())

@@ -134,7 +134,7 @@ def test_arima_matches_one_series_written_out(series, monkeypatch, width):
     y = seasonal(400, 4.0)
     filled = series(A=y)
     profile = profile_of(filled)
-    orders = [Order(), Order(0, 1, 1, 0), Order(2, 0, 0, 0)]
+    orders = [Order(multiplicative=False), Order(0, 1, 1, 0), Order(2, 0, 0, 0)]
     paths, info = forecast_orders(scale(filled, profile), profile, 30, HOURLY, orders)
     level, spread = profile.select("level", "spread").first()
     for combo, order in enumerate(orders):
@@ -144,6 +144,58 @@ def test_arima_matches_one_series_written_out(series, monkeypatch, width):
         assert info.where(F.col("combo_id") == combo).first().aic == pytest.approx(aic, rel=1e-6)
 
 
+def alternating(w, s, rounds=2000):
+    """Best (phi, Phi) of (1 - phi B)(1 - Phi B^s): each is a plain regression while the other is held."""
+    lag = lambda x, k: np.concatenate([np.zeros(k), x[: len(x) - k]])
+    phi = big = 0.0
+    for _ in range(rounds):
+        y, x = w - big * lag(w, s), lag(w, 1) - big * lag(w, s + 1)
+        phi = x @ y / (x @ x)
+        y, x = w - phi * lag(w, 1), lag(w, s) - phi * lag(w, s + 1)
+        big = x @ y / (x @ x)
+    rest = w - phi * lag(w, 1) - big * lag(w, s) + phi * big * lag(w, s + 1)
+    return phi, big, rest @ rest
+
+
+def test_multiplicative_fit_finds_the_least_squares(series):
+    s, y = 7, np.array(seasonal(500, 6.0))
+    w = np.diff(y)[s:] - np.diff(y)[:-s]
+    lag = lambda k: np.concatenate([np.zeros(k), w[: len(w) - k]])
+    x = np.column_stack([lag(1), lag(s), lag(s + 1)])
+    gram, moment = (x.T @ x)[None], (x.T @ w)[None]
+    free = np.linalg.solve(gram, moment[..., None])[..., 0]
+    order = Order(1, 0, 1, 0, s)
+    coef, rss = arima.multiplicative_fit(gram, moment, np.array([w @ w]), order, free)
+    phi, big, least = alternating(w, s)
+    np.testing.assert_allclose(coef[0], [phi, big, -phi * big], atol=1e-6)
+    start = w - x @ [free[0, 0], free[0, 1], -free[0, 0] * free[0, 1]]
+    assert rss[0] == pytest.approx(least, rel=1e-10) and rss[0] <= start @ start
+    out = forecast_grouped(series(A=y.tolist()), 5, HOURLY, ArimaLearner(order)).orderBy("target_time").collect()
+    w, y = w.tolist(), y.tolist()
+    for _ in range(5):
+        w.append(phi * w[-1] + big * w[-s] - phi * big * w[-s - 1])
+        y.append(w[-1] + y[-1] + y[-s] - y[-s - 1])
+    np.testing.assert_allclose([r.yhat for r in out], y[-5:], rtol=1e-6)
+
+
+def test_multiplicative_jacobian_and_parameters():
+    order, r = Order(2, 2, 1, 1, 12), np.random.default_rng(4)
+    free = r.normal(size=(3, order.parameters))
+    coef, jacobian = arima.multiplied(order, free)
+    assert coef.shape == (3, len(order.ar_lags + order.ma_lags)) and order.parameters == 6
+    for k in range(order.parameters):
+        up = free.copy()
+        up[:, k] += 1e-6
+        np.testing.assert_allclose((arima.multiplied(order, up)[0] - coef) / 1e-6, jacobian[:, :, k], atol=1e-5)
+    assert not Order(1, 0, 0, 1).products and not Order(multiplicative=False).products
+    gram = np.eye(len(coef[0]))[None].repeat(3, 0)
+    start = r.normal(size=coef.shape)
+    moment = r.normal(size=coef.shape)
+    _, rss = arima.multiplicative_fit(gram, moment, np.full(3, 50.0), order, start)
+    own = arima.multiplied(order, start[:, [0, 1, 2, 5, 6, 7]])[0]
+    assert (rss <= 50 - 2 * (own * moment).sum(1) + (own**2).sum(1) + 1e-9).all()
+
+
 def test_order_grid():
     grid = order_grid()
     assert len(grid) == 36 and grid[0].label == "(0,1,0)×(0,1,0,24)"
