@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import shift_steps
 from ..schemas import KEYS, MIN_FEATURE_ROWS, STEP_SECONDS, SeriesModel
-from .buckets import positions
+from .buckets import grid_positions, positions
 
 
 def _step(resolution: str) -> int:
@@ -17,16 +17,16 @@ def _step(resolution: str) -> int:
 
 
 def split_fraction(
-    features: DataFrame, fraction: float, config: SeriesModel, keys: Sequence[str] = KEYS
+    features: DataFrame, fraction: float, config: SeriesModel, keys: Sequence[str] = KEYS, contiguous: bool = False
 ) -> DataFrame:
     """Flag the last ``fraction`` of each series' feature rows as test rows.
 
     The test size is rounded half to even.  Series with too few rows are left out.
-    Adds ``is_test``, ``train_rows`` and ``test_rows``.
+    Adds ``is_test``, ``train_rows`` and ``test_rows``.  ``contiguous``: every series has a row for each step.
     """
     if not 0.0 < fraction < 1.0:
         raise ValueError("fraction must lie between 0 and 1")
-    placed = positions(features, keys, config.step_us)
+    placed = (grid_positions if contiguous else positions)(features, keys, config.step_us)
     n_test = F.bround(F.col("_n") * F.lit(float(fraction)), 0).cast("long")
     sized = placed.withColumns({"test_rows": n_test, "train_rows": F.col("_n") - n_test})
     usable = (

@@ -13,6 +13,7 @@ from ..functions.errors import by_series, error_sums, overall
 from ..learners.base import Learner, forecast_filled, unscale
 from ..learners.boosted import BoostedLearner
 from ..learners.linear import LinearLearner
+from ..learners.seriestrees import SeriesBoostedLearner
 from ..operators.evaluate import attach_info, join_actual_forecast, mean_info
 from ..operators.features import features_of
 from ..operators.gridding import regular_grid
@@ -41,17 +42,18 @@ def split_forecast(
     df: DataFrame,
     fraction: float,
     config: SeriesModel,
-    learner: LinearLearner | BoostedLearner | None = None,
+    learner: LinearLearner | BoostedLearner | SeriesBoostedLearner | None = None,
     keys: Sequence[str] = KEYS,
 ) -> tuple[DataFrame, DataFrame]:
     """Train on the first rows of each series, predict the rest from its true lags.
 
     Returns forecast rows and, per series, issue time and the sizes of both parts.
+    Feature rows of a filled grid have no holes, so a row's place follows from its time.
     """
     keys, learner = list(keys), learner or LinearLearner()
     filled = regular_grid(df, keys, config.resolution, fill=True)
     features = materialize(features_of(filled, config, keys), "features")
-    split = materialize(split_fraction(features, fraction, config, keys), "split")
+    split = materialize(split_fraction(features, fraction, config, keys, contiguous=True), "split")
     # Only training rows set the scale; lags and means move with the values they are made of.
     spread = F.stddev_pop("y")
     profile = split.where(~F.col("is_test")).groupBy(*keys).agg(
@@ -61,7 +63,7 @@ def split_forecast(
     scaled = split.join(profile, keys).withColumns({c: (F.col(c) - F.col("level")) / F.col("spread") for c in values})
     scaled = scaled.select(*split.columns)
     train, test = scaled.where(~F.col("is_test")), scaled.where("is_test")
-    if isinstance(learner, BoostedLearner):
+    if isinstance(learner, (BoostedLearner, SeriesBoostedLearner)):
         predicted = learner.fit_predict(train, test, config, keys)
     else:
         predicted = learner.predict(test, learner.fit(train, config, keys), config, keys)
@@ -80,14 +82,15 @@ def holdout_backtest(
     learner: Learner,
     keys: Sequence[str] = KEYS,
     max_train_steps: int | None = None,
+    grid: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast each series' last ``horizon`` steps from the history before them.
 
     Steps follow the resolution, and forecasts are labelled from the first held-out
-    step even where the training data ends in a hole.
+    step even where the training data ends in a hole.  ``grid``: the regular grid of ``df``, if it is at hand.
     """
     keys = list(keys)
-    grid = regular_grid(df, keys, config.resolution)
+    grid = regular_grid(df, keys, config.resolution) if grid is None else grid
     split = split_holdout_calendar(grid, horizon, keys, config.resolution)
     train = trim_train(split.where(~F.col("is_test")), max_train_steps, keys, config.resolution)
     train = materialize(train.select(*keys, "period", "value", "test_start"), "train")
@@ -158,12 +161,13 @@ def backtest_report(
     fraction: float = 0.0,
     keys: Sequence[str] = KEYS,
     max_train_steps: int | None = None,
+    grid: DataFrame | None = None,
 ) -> Backtest:
     """Backtest by chronological split when ``fraction`` is given and the learner has one, else by holdout."""
     if fraction > 0 and learner.splits:
         forecast, info = split_forecast(df, fraction, config, learner, keys)
     else:
-        forecast, info = holdout_backtest(df, horizon, config, learner, keys, max_train_steps)
+        forecast, info = holdout_backtest(df, horizon, config, learner, keys, max_train_steps, grid)
     return score(df, materialize(forecast, "forecast"), info, keys)
 
 

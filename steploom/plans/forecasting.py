@@ -14,6 +14,11 @@ from ..schemas import KEYS, SeriesModel
 from ..session import materialize
 
 
+def filled_to_the_end(df: DataFrame, resolution: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The stored filled grid of each series up to its last value."""
+    return materialize(regular_grid(df, keys, resolution, fill=True, trim_tail=True), "filled")
+
+
 def forecast_grouped(
     df: DataFrame,
     horizon: int,
@@ -21,14 +26,16 @@ def forecast_grouped(
     learner: Learner,
     keys: Sequence[str] = KEYS,
     issue_time: Column | None = None,
+    filled: DataFrame | None = None,
 ) -> DataFrame:
     """``horizon`` steps after each series' last value, with one learner for all series.
 
     Holes after the last value are cut off before training, so the first prediction
     belongs to the step right behind it.  Series without any value give no rows; those
     too short to train repeat their last value.  Periods must be unique per series.
+    ``filled``: what ``filled_to_the_end`` made of ``df``, if it is at hand.
     """
-    filled = materialize(regular_grid(df, keys, config.resolution, fill=True, trim_tail=True), "filled")
+    filled = filled_to_the_end(df, config.resolution, keys) if filled is None else filled
     steps, _ = forecast_filled(filled, horizon, config, learner, keys)
     issued = F.col("origin") if issue_time is None else issue_time
     return steps.select(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.errors import by_series, error_sums
 from ..learners.arima import Order, forecast_orders, order_grid
 from ..learners.base import Learner, forecast_filled_stages, prepare, profile_of, scale, unscale
-from ..operators.buckets import positions
+from ..operators.buckets import grid_positions
 from ..operators.evaluate import best_combo, combo_scores, join_actual_forecast
 from ..operators.gridding import regular_grid
 from ..operators.splits import eligible_series, split_holdout_calendar, trim_train
@@ -60,7 +60,7 @@ def tuning_split(
     grid = regular_grid(df, keys, window.resolution)
     long = eligible_series(grid, window.horizon + config.min_observations + 1, keys)
     filled = regular_grid(long, keys, window.resolution, fill=True)
-    placed = materialize(positions(filled, keys, config.step_us), "tuning")
+    placed = materialize(grid_positions(filled, keys, config.step_us), "tuning")
     held = placed.where(F.col("_pos") > F.col("_n") - window.horizon).select(
         *keys, (F.col("_pos") - F.col("_n") + window.horizon).cast("int").alias("step_no"), "period", "value"
     )

@@ -8,12 +8,14 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import shift_steps
 from ..learners.base import Learner
-from ..schemas import TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
+from ..operators.gridding import regular_grid
+from ..schemas import KEYS, TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
 from ..session import materialize, run_folder, side_by_side
 from ..sources.tables import read_best_params, write_best_params, write_table
 from .backtesting import backtest_report
-from .forecasting import forecast_grouped
+from .forecasting import filled_to_the_end, forecast_grouped
 from .tuning import best_params, grid_search
 
 
@@ -62,13 +64,17 @@ def run_windows(
 
     ``tables`` maps a resolution to its actuals.  Returns ``forecast``,
     ``backtest_forecast``, ``metrics`` and ``overall``, each with a ``window`` column.
+
+    What windows have in common is made once: grids per resolution; per resolution
+    and settings one forecast as long as the longest window, whose first steps are the shorter ones,
+    and one backtest where it does not depend on the horizon.
     """
     targets = resolve_windows(windows)
     for target in targets:
         if target.resolution not in tables:
             raise FileNotFoundError(f"no {target.resolution} actuals; run ingestion first")
 
-    def run(target: ForecastWindow) -> dict[str, DataFrame]:
+    def configured(target: ForecastWindow) -> SeriesModel:
         actual = tables[target.resolution]
         config = config_for(actual.sparkSession, params_path, target)
         if config is None and tune_if_missing and params_path is not None:
@@ -76,22 +82,45 @@ def run_windows(
             config = config_for(actual.sparkSession, params_path, target)
         if config is None:
             config = configure(target) if configure else model_for(target.resolution)
-        ahead = forecast_grouped(actual, target.horizon, config, learner)
-        report = backtest_report(actual, target.horizon, config, learner, fraction)
-        found = {
-            "forecast": ahead,
-            "backtest_forecast": report.forecast,
-            "metrics": report.by_series,
-            "overall": report.overall,
-        }
-        return {name: df.withColumn("window", F.lit(target.key)) for name, df in found.items()}
+        return config
 
     spark = next(iter(tables.values())).sparkSession
-    done = side_by_side(spark, (partial(run, target) for target in targets))
-    return {
-        name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [d[name] for d in done])
-        for name in done[0]
-    }
+    by_split = fraction > 0 and learner.splits
+    configs = side_by_side(spark, (partial(configured, target) for target in targets))
+    alike: dict[tuple[str, str], list[tuple[ForecastWindow, SeriesModel]]] = {}
+    for target, config in zip(targets, configs, strict=True):
+        alike.setdefault((target.resolution, repr(config)), []).append((target, config))
+    resolutions = list(dict.fromkeys(t.resolution for t in targets))
+    steps = [partial(filled_to_the_end, tables[r], r) for r in resolutions]
+    if not by_split:
+        steps += [partial(materialize, regular_grid(tables[r], KEYS, r), "grid") for r in resolutions]
+    made = side_by_side(spark, steps)
+    filled, grids = (dict(zip(resolutions, part)) for part in (made, made[len(resolutions) :]))
+
+    def run(group: list[tuple[ForecastWindow, SeriesModel]]) -> dict[str, dict[str, DataFrame]]:
+        config = group[0][1]
+        actual = tables[config.resolution]
+        longest = max(t.horizon for t, _ in group)
+        path = forecast_grouped(actual, longest, config, learner, filled=filled[config.resolution])
+        path = materialize(path, "path") if len(group) > 1 else path
+        shared = backtest_report(actual, longest, config, learner, fraction) if by_split else None
+        found = {}
+        for target, _ in group:
+            report = shared or backtest_report(actual, target.horizon, config, learner, fraction, grid=grids[config.resolution])
+            last = shift_steps("issue_time", F.lit(target.horizon), config.step_us)
+            found[target.key] = {
+                "forecast": path.where(F.col("target_time") <= last),
+                "backtest_forecast": report.forecast,
+                "metrics": report.by_series,
+                "overall": report.overall,
+            }
+        return found
+
+    groups = side_by_side(spark, (partial(run, group) for group in alike.values()))
+    found = {key: tables_ for group in groups for key, tables_ in group.items()}
+    named = lambda name: [found[t.key][name].withColumn("window", F.lit(t.key)) for t in targets]
+    names = ("forecast", "backtest_forecast", "metrics", "overall")
+    return {name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named(name)) for name in names}
 
 
 def write_windows(results: dict[str, DataFrame], root: str) -> None:

@@ -4,10 +4,13 @@ import re
 
 from pyspark.sql import functions as F
 
-from steploom.operators.buckets import positions
+from steploom.learners.linear import LinearLearner
+from steploom.operators.buckets import grid_positions, positions
 from steploom.operators.features import feature_matrix, lookback_features
 from steploom.operators.gridding import regular_grid
 from steploom.operators.ingest import dedup_periods, region_total
+from steploom.plans import windows
+from steploom.plans.forecasting import forecast_grouped
 from steploom.schemas import model_for
 from steploom.session import materialize
 
@@ -64,3 +67,38 @@ def test_features_from_a_stored_table_need_no_cross_join(series):
     rows = materialize(series(A=[float(i) for i in range(300)]))
     plan = plan_of(feature_matrix(rows, HOURLY))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_windows_share_grids_fits_and_paths(series, monkeypatch):
+    made = []
+
+    def counted(name):
+        whole = getattr(windows, name)
+
+        def call(*args, **options):
+            made.append((name, args[1] if name == "forecast_grouped" else None))
+            return whole(*args, **options)
+
+        monkeypatch.setattr(windows, name, call)
+
+    for name in ("filled_to_the_end", "forecast_grouped", "backtest_report", "regular_grid"):
+        counted(name)
+    config = model_for("hourly", lags=(1, 24), roll_windows=(), ridge=0.0)
+    tables = {"hourly": series(A=[100.0 + i % 24 + (i * 7 % 5) for i in range(700)])}
+    results = windows.run_windows(tables, LinearLearner(), ["7d", "14d", "1mo"], configure=lambda _: config)
+    assert sorted(made, key=str) == [("backtest_report", None), ("filled_to_the_end", None), ("forecast_grouped", 720)]
+    counts = {r["window"]: r["count"] for r in results["forecast"].groupBy("window").count().collect()}
+    assert counts == {"7d": 168, "14d": 336, "1mo": 720}
+    alone = {r.target_time: r.yhat for r in forecast_grouped(tables["hourly"], 168, config, LinearLearner()).collect()}
+    assert {r.target_time: r.yhat for r in results["forecast"].where("window = '7d'").collect()} == alone
+    # Other settings for one window make a fit of their own.
+    made.clear()
+    windows.run_windows(tables, LinearLearner(), ["7d", "14d"], configure=lambda t: config if t.key == "7d" else model_for("hourly", lags=(2,), roll_windows=()))
+    assert sorted(n for n, _ in made) == ["backtest_report"] * 2 + ["filled_to_the_end"] + ["forecast_grouped"] * 2
+
+
+def test_places_on_a_grid_equal_ranks(series):
+    rows = materialize(regular_grid(series(A=[1.0] * 60, B=[None, 2.0, None, 4.0]).unionByName(series(start="2027-01-01", C=[5.0])), fill=True))
+    keys = ["region", "series"]
+    found = [sorted(tuple(map(str, r)) for r in f(rows, keys, HOURLY.step_us).select(*keys, "period", "_pos", "_n").collect()) for f in (positions, grid_positions)]
+    assert found[0] == found[1] and "Window" not in plan_of(grid_positions(rows, keys, HOURLY.step_us))
