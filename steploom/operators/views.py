@@ -30,9 +30,20 @@ def prepare_forecasts(df: DataFrame) -> DataFrame:
     ).dropna(subset=["issue_time", "target_time", "yhat"])
 
 
-def filter_region(df: DataFrame, region: str | None) -> DataFrame:
-    """Rows of one region, whatever the case of its name; all rows for None."""
-    return df if region is None else df.where(F.upper("region") == region.upper())
+def spellings(names: DataFrame, region: str) -> list[str]:
+    """How a small table of regions writes a name; spellings differ in case only, so there are few."""
+    return sorted(r.region for r in names.where(F.upper("region") == region.upper()).select("region").distinct().collect())
+
+
+def filter_region(df: DataFrame, region: str | None, names: DataFrame | None = None) -> DataFrame:
+    """Rows of one region, whatever the case of its name; all rows for None.
+
+    ``names``: a side table with every region of ``df``.  With it the filter is one on plain
+    values, which reaches the scan and skips row groups without the region.
+    """
+    if region is None:
+        return df
+    return df.where(F.upper("region") == region.upper() if names is None else F.col("region").isin(spellings(names, region)))
 
 
 def latest_issue(df: DataFrame) -> DataFrame:
@@ -106,14 +117,15 @@ def region_list(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
     return actuals.select("region").distinct().union(forecasts.select("region").distinct()).distinct().orderBy("region")
 
 
-def serve_forecast(forecasts: DataFrame, key: str, region: str | None = None) -> DataFrame:
+def serve_forecast(forecasts: DataFrame, key: str, region: str | None = None, names: DataFrame | None = None) -> DataFrame:
     """Newest run of a window for one or all regions, as records with run and count.
 
     ``forecasts`` is partitioned by ``window``; an unknown window is an error and no
-    rows mean "not found".  The region filter comes before the newest run is chosen.
+    rows mean "not found".  The region filter comes before the newest run is chosen; ``names`` is the
+    side table of ``filter_region``, as ``write_windows`` stores it.
     """
     known = window(key)
-    rows = filter_region(forecasts.where(F.col("window") == known.key), region)
+    rows = filter_region(forecasts.where(F.col("window") == known.key), region, names)
     run = latest_issue(rows)
     count = run.agg(F.count(F.lit(1)))
     body = to_records(run, [*KEYS, "issue_time", "target_time", "yhat"], extra=["window", "issue_time"])

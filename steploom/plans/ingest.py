@@ -65,6 +65,11 @@ def typed_readings(
     return clean.select(*_READING_KEYS, "value", F.coalesce("pull", F.lit("")).alias("pull"))
 
 
+def months_of(rows: DataFrame) -> list[str]:
+    """The months that rows fall into, in order: a few names for each year, combined map-side."""
+    return sorted(rows.agg(F.collect_set(F.date_format("period", "yyyy-MM")).alias("months")).first().months)
+
+
 def ingest_batch(
     raw: DataFrame,
     path: str,
@@ -77,8 +82,8 @@ def ingest_batch(
     Readings are kept by sub-area, so that it does not matter in how many batches a
     pull arrives: a pull's readings add up with its earlier ones and replace those of
     earlier pulls, and totals of the touched months are summed again.  Both tables are
-    partitioned by month, and only the months between the batch's first and last
-    period are read and rewritten, so the work follows the batch, not the history.
+    partitioned by month, and only the months that the batch has readings of are read
+    and rewritten, however far they lie apart, so the work follows the batch, not the history.
     Running the same batch again changes nothing; if a job fails while it replaces
     months, the batch has to be run again, and the stream does so.
     """
@@ -89,11 +94,12 @@ def ingest_batch(
 
 def _ingest(spark, raw, path, regions, resolution, timezone) -> None:
     month = F.date_format("period", "yyyy-MM")
-    fresh = materialize(typed_readings(raw, regions, resolution, timezone).distinct(), "fresh")
-    first, last = fresh.agg(F.min(month), F.max(month)).first()
-    if first is None:
+    # Equal readings of a pull fall together in the sets of latest_readings.
+    fresh = materialize(typed_readings(raw, regions, resolution, timezone), "fresh")
+    months = months_of(fresh)
+    if not months:
         return
-    touched = F.col("month").between(first, last)
+    touched = F.col("month").isin(months)
     kept = read_series(spark, readings_path(path), _READINGS).where(touched).drop("month")
     merged = materialize(latest_readings(kept.unionByName(fresh)), "readings")
     write_table(merged.withColumn("month", month).hint("rebalance", "month"), readings_path(path), ["month"])
@@ -109,10 +115,10 @@ def merge_totals(totals: DataFrame, path: str) -> None:
     spark, month = totals.sparkSession, F.date_format("period", "yyyy-MM")
     with run_folder(spark):
         fresh = materialize(totals.select(*ACTUALS.fieldNames()), "totals")
-        first, last = fresh.agg(F.min(month), F.max(month)).first()
-        if first is None:
+        months = months_of(fresh)
+        if not months:
             return
-        stored = read_actuals(spark, path).where(F.col("month").between(first, last)).select(*ACTUALS.fieldNames())
+        stored = read_actuals(spark, path).where(F.col("month").isin(months)).select(*ACTUALS.fieldNames())
         write_table(upsert_latest(stored, fresh).withColumn("month", month).hint("rebalance", "month"), path, ["month"])
 
 

@@ -13,7 +13,7 @@ from ..learners.base import Learner
 from ..operators.gridding import regular_grid
 from ..schemas import KEYS, TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
 from ..session import materialize, run_folder, side_by_side
-from ..sources.tables import read_best_params, write_best_params, write_table
+from ..sources.tables import read_best_params, read_series, write_best_params, write_table
 from .backtesting import backtest_report
 from .forecasting import filled_to_the_end, forecast_grouped
 from .tuning import best_params, grid_search
@@ -124,7 +124,14 @@ def run_windows(
 
 
 def write_windows(results: dict[str, DataFrame], root: str) -> None:
-    """Store the job's tables, partitioned by window, replacing only the windows they hold."""
-    for name, df in results.items():
-        write_table(df, f"{root}/{name}", ["window"])
+    """Store the job's tables, partitioned by window, replacing only the windows they hold.
 
+    Rows of a region lie together in the files, and ``forecast_regions`` lists each window's regions,
+    so that a request for one region reads its own row groups (``filter_region``).
+    """
+    for name, df in results.items():
+        grouped = [c for c in ("window", "region") if c in df.columns]
+        write_table(df.sortWithinPartitions(*grouped), f"{root}/{name}", ["window"])
+    if "forecast" in results:
+        stored = read_series(results["forecast"].sparkSession, f"{root}/forecast")
+        write_table(stored.select("window", "region").distinct(), f"{root}/forecast_regions", ["window"])

@@ -113,6 +113,7 @@ def test_windows_job_writes_partitioned_tables(spark, series, tmp_path):
     stored = read_series(spark, f"{root}/forecast")
     counts = {r.window: r["count"] for r in stored.groupBy("window").count().collect()}
     assert counts == {"7d": 168, "3mo": 90}
+    assert {(r.window, r.region) for r in read_series(spark, f"{root}/forecast_regions").collect()} == {("7d", "A"), ("3mo", "A")}
     with pytest.raises(FileNotFoundError):
         run_windows({"hourly": tables["hourly"]}, SeasonalNaive(), ["3mo"])
 

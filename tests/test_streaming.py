@@ -152,3 +152,31 @@ def test_repeated_deliveries_are_stored_once(spark, tmp_path):
     path = str(tmp_path / "out")
     out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(path).awaitTermination()
     assert spark.read.parquet(path).agg(F.count("*"), F.sum("value")).first()[:] == (10, 45.0)
+
+
+def test_only_months_with_readings_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "load")
+    months = ["2025-11", "2025-12", "2026-01", "2026-02"]
+    ingest_batch(pull(spark, "pull-1", [("CISO", "A", f"{m}-03T00", "1") for m in months]), path, REGIONS)
+    files = lambda: {m: sorted(os.listdir(f"{path}/month={m}")) for m in months}
+    before = files()
+    ingest_batch(pull(spark, "pull-2", [("CISO", "A", "2025-11-04T00", "2"), ("CISO", "A", "2026-02-03T00", "3")]), path, REGIONS)
+    assert {m for m in months if files()[m] != before[m]} == {"2025-11", "2026-02"}
+    assert read_actuals(spark, path).count() == 5
+    assert {r.value for r in read_actuals(spark, path).where("month = '2026-02'").collect()} == {3.0}
+
+
+def test_totals_count_repeated_deliveries_once(spark, tmp_path):
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "totals")
+    at = lambda hours: datetime(2026, 1, 1) + timedelta(hours=hours)
+    batches = [
+        [("CISO", "A", at(0), 1.0), ("CISO", "B", at(0), 2.0), ("CISO", "A", at(0), 1.0)],
+        [("CISO", "A", at(0), 1.0), ("CISO", "A", at(1), 5.0), ("CISO", "C", at(0), 4.0)],
+        [("CISO", "B", at(0), 2.0), ("CISO", "A", at(1), 5.0)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, TYPED).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(TYPED).parquet(landing)
+        totals = stream_region_totals(stream, REGIONS, identity=["parent", "subba"])
+        write_revisions(totals, path, str(tmp_path / "checkpoint")).awaitTermination()
+    assert content(current_totals(spark, path)) == {("CISO", at(0), 7.0), ("CISO", at(1), 5.0)}

@@ -34,6 +34,19 @@ def test_serve_forecast_filters_before_choosing_the_run(stored):
         views.serve_forecast(stored, "2d")
 
 
+def test_region_filter_reaches_the_scan(spark, stored, tmp_path):
+    path = str(tmp_path / "forecast")
+    stored.write.partitionBy("window").parquet(path)
+    table, names = spark.read.parquet(path), stored.select("region").distinct()
+    rows = views.filter_region(table.where("window = '7d'"), "cIsO", names)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0].split("PushedFilters: ")[1]
+    assert "region" in pushed.split("]")[0] and "CISO" in pushed
+    assert rows.count() == 3 and views.filter_region(table, "none", names).count() == 0
+    want = sorted(r.record for r in views.serve_forecast(table, "7d", "ciso").collect())
+    assert sorted(r.record for r in views.serve_forecast(table, "7d", "ciso", names).collect()) == want
+
+
 def test_freshness_levels(series):
     rows = series(R=[1.0])
     at = lambda text: F.lit(text).cast("timestamp")
