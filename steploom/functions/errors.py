@@ -55,6 +55,11 @@ def by_series(sums: DataFrame, keys: Sequence[str], empty: float | None = 0.0) -
     return sums.dropna(subset=list(keys)).select(*keys, *measures(empty))
 
 
+def summed(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Error sums of coarser groups from those of finer ones."""
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
 def overall(sums: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Measures pooled over all rows; no rows give no result row."""
     pooled = sums.groupBy(*keys) if keys else sums.groupBy()

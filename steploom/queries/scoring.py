@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate
 from ..operators.views import region_list as sorted_regions
+from ..plans import scorekeeping
 from ..plans.backtesting import overlap_evaluation as score_overlap
 from ..plans.tuning import grid_combos
 from ..plans.tuning import series_x_params as cross_params
 from ..schemas import KEYS, TreeSettings
 from ..schemas import window_registry as registry
+from ..session import fresh_path, materialize
 from .data import actuals, forecasts, hourly_actuals, season_scores
 from .registry import query
 from .series import user_series
@@ -218,3 +220,15 @@ def overlap_evaluation(spark, sf_dir):
     return score_overlap(seen, forecasts(spark, sf_dir, seen=seen)).by_series
 
 
+@query(with_views("SELECT * FROM by_series", "by_series"), doubles=ERRORS)
+def overlap_evaluation_by_arrivals(spark, sf_dir):
+    """The same scores kept up to date in three arrivals: the first weeks, the rest, and some hours once more."""
+    seen = materialize(actuals(spark, sf_dir), "seen")
+    ahead = materialize(forecasts(spark, sf_dir, seen=seen), "ahead")
+    path, start = fresh_path(spark, "sums"), seen.agg(F.min("period")).scalar()
+    early = F.unix_timestamp("period") < F.unix_timestamp(start) + 25 * 86_400
+    first, rest = seen.where(early), seen.where(~early)
+    scorekeeping.update_scores(first, first, ahead, path)
+    scorekeeping.update_scores(rest, seen, ahead, path)
+    scorekeeping.update_scores(rest.where(F.hour("period") < 3), seen, ahead, path)
+    return scorekeeping.kept_scores(spark, path)
