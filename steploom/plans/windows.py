@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import shift_steps
@@ -14,7 +14,7 @@ from ..operators.gridding import regular_grid
 from ..schemas import KEYS, TEST_FRACTION, WINDOWS, ForecastWindow, SeriesModel, model_for, window
 from ..session import materialize, run_folder, side_by_side
 from ..sources.tables import read_best_params, read_series, write_best_params, write_table
-from .backtesting import backtest_report
+from .backtesting import Backtest, backtest_report
 from .forecasting import filled_to_the_end, forecast_grouped
 from .tuning import best_params, grid_search
 
@@ -97,30 +97,32 @@ def run_windows(
     made = side_by_side(spark, steps)
     filled, grids = (dict(zip(resolutions, part)) for part in (made, made[len(resolutions) :]))
 
-    def run(group: list[tuple[ForecastWindow, SeriesModel]]) -> dict[str, dict[str, DataFrame]]:
-        config = group[0][1]
+    def run(group: list[tuple[ForecastWindow, SeriesModel]]) -> list[dict[str, DataFrame]]:
+        config, members = group[0][1], [t for t, _ in group]
         actual = tables[config.resolution]
-        longest = max(t.horizon for t, _ in group)
+        longest = max(t.horizon for t in members)
         path = forecast_grouped(actual, longest, config, learner, filled=filled[config.resolution])
-        path = materialize(path, "path") if len(group) > 1 else path
-        shared = backtest_report(actual, longest, config, learner, fraction) if by_split else None
-        found = {}
-        for target, _ in group:
-            report = shared or backtest_report(actual, target.horizon, config, learner, fraction, grid=grids[config.resolution])
-            last = shift_steps("issue_time", F.lit(target.horizon), config.step_us)
-            found[target.key] = {
-                "forecast": path.where(F.col("target_time") <= last),
-                "backtest_forecast": report.forecast,
-                "metrics": report.by_series,
-                "overall": report.overall,
-            }
+        # Each row goes to the windows that reach as far, so one plan makes the forecasts of all.
+        reached = [F.when(F.col("target_time") <= shift_steps("issue_time", F.lit(t.horizon), config.step_us), t.key) for t in members]
+        found = [{"forecast": path.withColumn("window", F.explode(F.array_compact(F.array(*reached))))}]
+        if by_split:
+            keys = F.array(*[F.lit(t.key) for t in members])
+            return [*found, _named(backtest_report(actual, longest, config, learner, fraction), F.explode(keys))]
+        for t in members:
+            report = backtest_report(actual, t.horizon, config, learner, fraction, grid=grids[config.resolution])
+            found.append(_named(report, F.lit(t.key)))
         return found
 
-    groups = side_by_side(spark, (partial(run, group) for group in alike.values()))
-    found = {key: tables_ for group in groups for key, tables_ in group.items()}
-    named = lambda name: [found[t.key][name].withColumn("window", F.lit(t.key)) for t in targets]
+    parts = [part for group in side_by_side(spark, (partial(run, group) for group in alike.values())) for part in group]
     names = ("forecast", "backtest_forecast", "metrics", "overall")
-    return {name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named(name)) for name in names}
+    return {
+        name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p[name] for p in parts if name in p]) for name in names
+    }
+
+
+def _named(report: Backtest, key: Column) -> dict[str, DataFrame]:
+    found = {"backtest_forecast": report.forecast, "metrics": report.by_series, "overall": report.overall}
+    return {name: df.withColumn("window", key) for name, df in found.items()}
 
 
 def write_windows(results: dict[str, DataFrame], root: str) -> None:
