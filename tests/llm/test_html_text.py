@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -109,6 +110,57 @@ def test_long_and_deep_pages():
     assert text_of("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>x" * 50_000,
+        "<div>" * 20_000,
+        "<article>x" * 20_000,
+        "<div><svg>x" * 20_000,
+        "<div>x" * 20_000 + "</p></section></b>" * 20_000,
+        "<p>" + "<b>x" * 20_000 + "<h1>y" * 20_000,
+        "<li><ul>" + "<b>x" * 20_000 + "<li>y</li>" * 20_000,
+        "<b><div>" + "<i>x" * 20_000 + "</b>" * 20_000,
+        "".join(f"<div class={'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}>x" for i in range(20_000)),
+    ],
+    ids=["texts", "empty", "articles", "svgs", "stray ends", "inline", "items", "crossed", "classes"],
+)
+def test_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    got = text_of(page)
+    assert time.process_time() - start < 8
+    # The chosen container holds its share of the page's text.
+    assert len(re.findall("[xy]", got)) >= 0.7 * len(re.findall(">[xy]", page)) * ("<svg>" not in page)
+
+
+@pytest.mark.parametrize(
+    "inner, kept",
+    [
+        ("<div class=market-share><p>The market grew by a third.</p></div>", True),
+        ("<section id=search-methods><p>We searched <a href=/x>one</a> register.</p></section>", True),
+        ("<h1 class=article-header>Title</h1>", True),
+        ("<div class=share-buttons><a href=/f>Share it</a> <a href=/t>Tell others</a></div>", False),
+        ("<div class=related-posts>See <a href=/f>another long story</a></div>", False),
+        ("<div class=share>Share this story with others.</div>", False),
+        ("<div class='search box'>Find other stories here.</div>", False),
+        ("<div class=comment-body><p>Great story, thanks for it.</p></div>", False),
+        ("<div class=reader-replies><div class=comment>Great story.</div></div>", False),
+        ("<div class=cookie-consent>We use them for all that we do.</div>", False),
+        ("<h2 class=comments>Comments</h2>", False),
+    ],
+)
+def test_ambiguous_names_in_articles(inner, kept):
+    words = " ".join(re.sub("<[^>]*>", "", inner).split())
+    assert text_of(f"<article><p>{LONG}</p>{inner}<p>{MORE}</p></article>") == " ".join([LONG, *([words] if kept else []), MORE])
+
+
+def test_pages_without_a_host_do_not_vote(spark):
+    many = [(i, None, f"<div class=a>{MORE}</div><div class=b>{LONG} {LONG}</div>") for i in range(5)]
+    odd = (9, "no address", f"<div class=b>side</div><div class=a>{LONG}</div>")
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame([*many, odd], SCHEMA)).collect()}
+    assert got[9] == LONG and got[0] == f"{LONG} {LONG}"
+
+
 def test_hosts_agree_on_a_path(spark):
     body = "<p>" + "real text here. " * 20 + "</p>"
     good = f"<body><div class='post-12'>{body}</div><div class='extra'>short</div></body>"
