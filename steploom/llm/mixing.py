@@ -15,6 +15,12 @@ from .common import let, spare_name, words
 
 #: Rounds of a keyed permutation; each moves about half of the values.
 ROUNDS = 16
+#: Tables of sources are broadcast up to this many rows and joined by shuffles beyond.
+MAX_BROADCAST = 100_000
+#: Rows of a key that one task adds up in a running sum; beyond, sums of such runs are added up first.
+RUN = 4096
+#: A prime: places of a shard are a multiple of it apart, so that its sources alternate.
+STRIDE = 1_000_003
 
 
 @dataclass(frozen=True)
@@ -34,6 +40,10 @@ class MixConfig:
     task_slots: int = 1 << 17
     seed: int = 17
 
+    def __post_init__(self) -> None:
+        if not 0 < self.shard_slots < STRIDE:
+            raise ValueError(f"shard_slots must lie between 1 and {STRIDE - 1}")
+
 
 def permuted(x: Column, size: Column, key: Column, rounds: int = ROUNDS) -> Column:
     """Place of ``x`` in a pseudorandom permutation of ``0 .. size - 1`` that ``key`` selects.
@@ -74,19 +84,39 @@ def target_sizes(sizes: list[tuple[str | None, int]], config: MixConfig) -> list
 
 
 def _source_plan(like: DataFrame, totals: list[tuple[str | None, int]], config: MixConfig) -> DataFrame:
-    """One row per source: target, blocks, slots to fill and the first slot number."""
-    targets, rows, first = target_sizes(totals, config), [], 0
-    for (name, size), target in zip(totals, targets, strict=True):
+    """One row per source: its number, target, blocks and slots to fill."""
+    targets, rows = target_sizes(totals, config), []
+    for no, ((name, size), target) in enumerate(zip(totals, targets, strict=True)):
         blocks = -(-size // config.block)
         turns = min(config.max_repeats, int(target // size)) if size else 0
         rest = min(blocks, round((target - turns * size) / config.block)) if turns < config.max_repeats else 0
         slots = turns * blocks + rest
-        rows.append((name, size, target, blocks, slots, first))
-        first += slots
-    schema = "source string, source_size long, target double, blocks long, slots long, first_slot long"
+        rows.append((no, name, size, target, blocks, slots))
+    schema = "no int, source string, source_size long, target double, blocks long, slots long"
     return like.sparkSession.createDataFrame(rows, schema)
 
 
+def _bounded(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= MAX_BROADCAST else table
+
+
+def with_base(rows: DataFrame, keys: Sequence[str], at: str, amount: str) -> DataFrame:
+    """Add ``base``: the sum of ``amount`` over the key's rows with a smaller ``at`` (whole numbers, each once in a key).
+
+    Summed in two levels, so a key with any number of rows is spread over tasks.
+    """
+    whole = Window.unboundedPreceding
+    dealt = rows.withColumn("_run", F.floor(F.col(at) / RUN))
+    sums = dealt.groupBy(*keys, "_run").agg(F.sum(amount).alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_run").rowsBetween(whole, -1))
+    names = {k: f"_of_{k}" for k in (*keys, "_run")}
+    starts = sums.select(*[F.col(k).alias(n) for k, n in names.items()], F.coalesce(before, F.lit(0)).alias("_start"))
+    inner = F.sum(amount).over(Window.partitionBy(*keys, "_run").orderBy(at).rowsBetween(whole, -1))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    placed = dealt.withColumn("_inner", F.coalesce(inner, F.lit(0))).join(starts, same)
+    return placed.select(*rows.columns, (F.col("_start") + F.col("_inner")).alias("base"))
+
+
 def number_words(docs: DataFrame, config: MixConfig) -> DataFrame:
     """Add ``start``: the place of a document's first word among all words of its source,
     and ``row_key`` with ``nth``, which name a row even if its id is NULL or repeated.
@@ -97,10 +127,7 @@ def number_words(docs: DataFrame, config: MixConfig) -> DataFrame:
     runs = F.pmod(F.xxhash64("doc_id", "tie"), F.greatest(F.lit(1), F.ceil(F.col("n_docs") / config.run_rows)))
     dealt = docs.withColumn("run", runs)
     sums = dealt.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
-    before = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("run_size").over(before), F.lit(0)).alias("base")
-    )
+    starts = with_base(sums, ["source"], "run", "run_size").select(F.col("source").alias("s"), F.col("run").alias("r"), "base")
     inside = Window.partitionBy("source", "run").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     numbered = placed.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))).select(
@@ -110,40 +137,101 @@ def number_words(docs: DataFrame, config: MixConfig) -> DataFrame:
     return numbered.withColumn("nth", F.row_number().over(equal))
 
 
+def alias_rows(slots: Sequence[int]) -> list[tuple[int, int, int]]:
+    """``cell, below, other`` for each source: how to draw sources by their slots in one look-up.
+
+    Draw a cell and a number under the total of all slots, both evenly: the source is the cell's own if the
+    number is less than ``below``, else the other.  All in whole numbers, so shares are exact.
+    """
+    total, n = sum(slots), len(slots)
+    left, below, other = [w * n for w in slots], [total] * n, list(range(n))
+    small, large = [i for i in range(n) if left[i] < total], [i for i in range(n) if left[i] >= total]
+    while small and large:
+        i, giver = small.pop(), large[-1]
+        below[i], other[i] = left[i], giver
+        left[giver] -= total - left[i]
+        if left[giver] < total:
+            small.append(large.pop())
+    return list(zip(range(n), below, other, strict=True))
+
+
+def shard_draws(like: DataFrame, slots: Sequence[int], config: MixConfig) -> DataFrame:
+    """``shard, no, n``: multinomial source counts of each output shard, with shares as the sources' ``slots``.
+
+    Every slot of a shard draws its source on its own; counts are combined in the task that draws a shard.
+    """
+    total, spark = sum(slots), like.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, total // config.task_slots)
+    cells = spark.createDataFrame(alias_rows(slots), "cell int, below long, other int")
+    drawn = spark.range(0, total, 1, tasks).select(
+        F.floor(F.col("id") / config.shard_slots).alias("shard"),
+        F.pmod(F.xxhash64("id", F.lit(config.seed), F.lit("cell")), F.lit(max(len(slots), 1))).cast("int").alias("cell"),
+        F.pmod(F.xxhash64("id", F.lit(config.seed), F.lit("share")), F.lit(max(total, 1))).alias("share"),
+    )
+    no = F.when(F.col("share") < F.col("below"), F.col("cell")).otherwise(F.col("other"))
+    met = drawn.join(_bounded(cells, len(slots)), "cell").select("shard", no.alias("no"))
+    return met.groupBy("shard", "no").agg(F.count(F.lit(1)).alias("n"))
+
+
+def settled_draws(draws: DataFrame, slots: Sequence[int], config: MixConfig) -> DataFrame:
+    """The draws with each source's sum over all shards brought to its ``slots``.
+
+    Sums of draws miss the targets by about their square root.  A source drawn too often gives
+    that many slots back, spread evenly over its draws; sources drawn too seldom take them in a keyed random order.
+    """
+    spark = draws.sparkSession
+    got = {r["no"]: r["n"] for r in draws.groupBy("no").agg(F.sum("n").alias("n")).collect()}
+    over = [(no, got.get(no, 0), max(0, got.get(no, 0) - w)) for no, w in enumerate(slots)]
+    short = [(no, w - got.get(no, 0)) for no, w in enumerate(slots) if w > got.get(no, 0)]
+    moved = sum(n for _, n in short)
+    if not moved:
+        return draws
+    surplus = spark.createDataFrame([r for r in over if r[1]], "no int, drawn long, surplus long")
+    upto = lambda k: F.expr(f"cast(({k}) * cast(surplus as decimal(20, 0)) div drawn as long)")
+    based = with_base(draws, ["no"], "shard", "n").join(_bounded(surplus, len(slots)), "no")
+    given = materialize(based.select("shard", "no", "n", (upto("base + n") - upto("base")).alias("given")), "given")
+
+    freed = given.groupBy("shard").agg(F.sum("given").alias("freed")).where("freed > 0").withColumn("all", F.lit(0))
+    place = F.explode(F.sequence("base", F.col("base") + F.col("freed") - 1))
+    places = with_base(freed, ["all"], "shard", "freed").select("shard", place.alias("place"))
+    first, rows = 0, []
+    for no, n in short:
+        rows.append((no, first, first + n - 1))
+        first += n
+    takers = spark.createDataFrame(rows, "no int, first long, last long").select("no", F.explode(F.sequence("first", "last")).alias("turn"))
+    takers = takers.select("no", permuted(F.col("turn"), F.lit(moved).cast("long"), F.lit(config.seed + 1)).alias("place"))
+    taken = places.join(takers, "place").select("shard", "no", F.lit(1).cast("long").alias("n"))
+    kept = given.select("shard", "no", (F.col("n") - F.col("given")).alias("n"))
+    return kept.unionByName(taken).groupBy("shard", "no").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def draw_slots(like: DataFrame, plan: DataFrame, config: MixConfig) -> DataFrame:
     """``shard``, ``slot``, ``source``, ``block`` and ``turn`` of every slot of the output.
 
-    A keyed permutation deals the sources' slots over all output slots.  A shard's
-    source counts are then multinomial draws with the corpus totals held fixed, so a
-    source's sum over all shards is its target and not only near it on average.  The
-    k-th slot of a source takes block ``permutation(k mod blocks)`` of turn ``k div blocks``.
+    Each shard draws its source counts (:func:`shard_draws`); the sums over all shards are brought to the targets
+    (:func:`settled_draws`).  Running sums of a source's counts number its slots; the k-th
+    takes block ``permutation(k mod blocks)`` of turn ``k div blocks``.  A shard's sources alternate along its slots.
     """
-    total = plan.agg(F.sum("slots")).first()[0] or 0
-    tasks = max(like.sparkSession.sparkContext.defaultParallelism, total // config.task_slots)
-    out = like.sparkSession.range(0, total, 1, tasks).select(
-        F.col("id").alias("out"), permuted(F.col("id"), F.lit(max(total, 1)).cast("long"), F.lit(config.seed)).alias("drawn")
-    )
-    owner = plan.where("slots > 0")
-    inside = (F.col("drawn") >= F.col("first_slot")) & (F.col("drawn") < F.col("first_slot") + F.col("slots"))
-    cells = out.withColumn("cell", _cell(F.col("drawn"), total))
-    owner = owner.withColumn(
-        "cell", F.explode(F.sequence(_cell(F.col("first_slot"), total), _cell(F.col("first_slot") + F.col("slots") - 1, total)))
-    )
-    k = F.col("drawn") - F.col("first_slot")
-    return cells.join(F.broadcast(owner), "cell").where(inside).select(
-        F.floor(F.col("out") / config.shard_slots).alias("shard"),
-        F.pmod(F.col("out"), F.lit(config.shard_slots)).alias("slot"),
+    slots = [r["slots"] for r in plan.select("no", "slots").orderBy("no").collect()]
+    total = sum(slots)
+    draws = materialize(shard_draws(like, slots, config), "draws")
+    counts = materialize(settled_draws(draws, slots, config), "counts")
+    in_shard = Window.partitionBy("shard").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = with_base(counts, ["no"], "shard", "n").withColumn("offset", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
+    each = numbered.select("shard", "no", "base", "offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    size = F.least(F.lit(config.shard_slots).cast("long"), F.lit(total).cast("long") - F.col("shard") * config.shard_slots)
+    turned = F.pmod(F.xxhash64("shard", F.lit(config.seed)), size)
+    k = F.col("base") + F.col("i")
+    owners = plan.select("no", "source", "blocks")
+    return each.join(_bounded(owners, len(slots)), "no").select(
+        "shard",
+        F.pmod((F.col("offset") + F.col("i")) * STRIDE + turned, size).alias("slot"),
         "source",
         permuted(F.pmod(k, F.col("blocks")), F.col("blocks"), F.hash("source", F.lit(config.seed))).alias("block"),
         F.floor(k / F.col("blocks")).alias("turn"),
     )
 
 
-def _cell(slot: Column, total: int) -> Column:
-    """Slots in 1,024 equal cells, so that finding a slot's source is an equal join."""
-    return F.floor(slot * 1024 / max(total, 1)).cast("int")
-
-
 @dataclass(frozen=True)
 class Mix:
     """``documents``: key columns, ``size``, ``source_size``, ``target``, ``taken``.
@@ -169,7 +257,7 @@ def mix_sources(
     A NULL source is one source, the last.  NULL and empty texts have size 0 and give
     nothing.  Rows with equal or NULL ids are told apart by a hash of their text; equal
     rows share what they take evenly in the order of their places, each as a row of its own.
-    Broadcast: the table of sources, 1,024 cells at most beyond one row for each source.
+    One row for each source reaches the driver; tables of sources are broadcast up to ``MAX_BROADCAST`` rows.
     """
     config = config or MixConfig()
     sized = materialize(
@@ -187,7 +275,7 @@ def mix_sources(
     counts = docs.sparkSession.createDataFrame(
         [(r["source"], r["n_docs"]) for r in rows], "counted string, n_docs long"
     )
-    known = sized.join(F.broadcast(counts), F.col("source").eqNullSafe(F.col("counted"))).drop("counted")
+    known = sized.join(_bounded(counts, len(rows)), F.col("source").eqNullSafe(F.col("counted"))).drop("counted")
     numbered = materialize(number_words(known, config), "numbered")
 
     slots = draw_slots(docs, plan, config)
@@ -205,7 +293,7 @@ def mix_sources(
     targets = plan.select(F.col("source").alias("p_source"), "source_size", "target")
     documents = (
         numbered.join(taken, ["row_key", "nth"], "left")
-        .join(F.broadcast(targets), F.col("source").eqNullSafe(F.col("p_source")))
+        .join(_bounded(targets, len(rows)), F.col("source").eqNullSafe(F.col("p_source")))
         .select(
             F.col("doc_id").alias(key), F.col("source"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
         )

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from steploom.llm.common import read
-from steploom.llm.mixing import MixConfig, mix_sources, mixed_documents, permuted, target_sizes
+from steploom.llm.mixing import MixConfig, alias_rows, mix_sources, mixed_documents, permuted, settled_draws, shard_draws, target_sizes, with_base
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SMALL = MixConfig(block=4, shard_slots=16, run_rows=8)
@@ -79,6 +79,65 @@ def test_slots(spark):
             assert abs(own[s] - n * p) <= 5 * (n * p * (1 - p)) ** 0.5 + 1
 
 
+@pytest.mark.parametrize("slots", [[5], [1, 0, 7], [3, 3, 3], [100, 1, 1, 50, 0, 9], [0, 0, 4]])
+def test_alias_shares_are_exact(slots):
+    total, share = sum(slots), Counter()
+    for cell, below, other in alias_rows(slots):
+        share[cell] += below
+        share[other] += total - below
+    assert [share[i] for i in range(len(slots))] == [w * len(slots) for w in slots]
+
+
+def test_shards_draw_and_sums_settle(spark):
+    slots, config = [6000, 2500, 1000, 0, 3], MixConfig(shard_slots=64)
+    draws = shard_draws(spark.range(1), slots, config)
+    drawn = {(r.shard, r.no): r.n for r in draws.collect()}
+    sizes = Counter()
+    for (shard, _), n in drawn.items():
+        sizes[shard] += n
+    total, shards = sum(slots), -(-sum(slots) // 64)
+    assert [sizes[s] for s in range(shards)] == [64] * (shards - 1) + [total - 64 * (shards - 1)]
+    # Counts of a source spread over the shards as those of a multinomial draw do.
+    for no, w in enumerate(slots[:3]):
+        p, own = w / total, [drawn.get((s, no), 0) for s in range(shards - 1)]
+        mean = sum(own) / len(own)
+        assert abs(mean - 64 * p) < 5 * (64 * p * (1 - p) / len(own)) ** 0.5
+        assert 0.6 < sum((n - mean) ** 2 for n in own) / (len(own) - 1) / (64 * p * (1 - p)) < 1.5
+    settled = {(r.shard, r.no): r.n for r in settled_draws(draws, slots, config).collect()}
+    after, of_source, changed = Counter(), Counter(), 0
+    for (shard, no), n in settled.items():
+        after[shard] += n
+        of_source[no] += n
+    assert after == sizes and [of_source[i] for i in range(5)] == slots
+    wrong = sum(abs(sum(n for (_, i), n in drawn.items() if i == no) - w) for no, w in enumerate(slots))
+    changed = sum(abs(settled.get(k, 0) - drawn.get(k, 0)) for k in settled.keys() | drawn.keys())
+    assert changed <= wrong
+
+
+def test_running_sums(spark):
+    rows = [(k, at, (at * 7 + len(k or "")) % 5) for k in ("a", "b", None) for at in [*range(0, 9000, 3), 40_000]]
+    got = with_base(spark.createDataFrame(rows, "k string, at long, n long"), ["k"], "at", "n").collect()
+    assert len(got) == len(rows)
+    sums = Counter()
+    for r in sorted(got, key=lambda r: r.at):
+        assert r.base == sums[r.k]
+        sums[r.k] += r.n
+
+
+def test_documents_against_a_walk_over_words(spark):
+    """Words in order of their source's documents, cut into blocks, taken as often as slots name their block."""
+    config = MixConfig(block=4, shard_slots=16)
+    rows = [(i, " ".join(["w"] * (i * i % 23)), "en", [None, "s1", "s2", "s3"][i % 4], 1) for i in range(300)]
+    mix = mix_sources(spark.createDataFrame(rows, SCHEMA), config)
+    uses = Counter((r.source, r.block) for r in mix.slots.collect())
+    places, taken = Counter(), Counter()
+    for doc_id, text, _, source, _ in rows:
+        for _ in WORD.findall(text):
+            taken[doc_id] += uses[source, places[source] // config.block]
+            places[source] += 1
+    assert {r.doc_id: r.taken for r in mix.documents.collect()} == {r[0]: taken[r[0]] for r in rows}
+
+
 def test_mixed_rows_hold_the_words_taken(spark):
     docs = corpus(spark)
     taken, have = Counter(), Counter()
