@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -155,15 +155,18 @@ def alias_rows(slots: Sequence[int]) -> list[tuple[int, int, int]]:
     return list(zip(range(n), below, other, strict=True))
 
 
+def _tasks(spark: SparkSession, slots: int, config: MixConfig) -> int:
+    return max(spark.sparkContext.defaultParallelism, slots // config.task_slots)
+
+
 def shard_draws(like: DataFrame, slots: Sequence[int], config: MixConfig) -> DataFrame:
     """``shard, no, n``: multinomial source counts of each output shard, with shares as the sources' ``slots``.
 
     Every slot of a shard draws its source on its own; counts are combined in the task that draws a shard.
     """
     total, spark = sum(slots), like.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, total // config.task_slots)
     cells = spark.createDataFrame(alias_rows(slots), "cell int, below long, other int")
-    drawn = spark.range(0, total, 1, tasks).select(
+    drawn = spark.range(0, total, 1, _tasks(spark, total, config)).select(
         F.floor(F.col("id") / config.shard_slots).alias("shard"),
         F.pmod(F.xxhash64("id", F.lit(config.seed), F.lit("cell")), F.lit(max(len(slots), 1))).cast("int").alias("cell"),
         F.pmod(F.xxhash64("id", F.lit(config.seed), F.lit("share")), F.lit(max(total, 1))).alias("share"),
@@ -218,7 +221,8 @@ def draw_slots(like: DataFrame, plan: DataFrame, config: MixConfig) -> DataFrame
     counts = materialize(settled_draws(draws, slots, config), "counts")
     in_shard = Window.partitionBy("shard").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     numbered = with_base(counts, ["no"], "shard", "n").withColumn("offset", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
-    each = numbered.select("shard", "no", "base", "offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    # A count is a small row that stands for many slots: tasks are dealt by slots, not by the size of the counts.
+    each = numbered.repartition(_tasks(like.sparkSession, total, config), "shard").select("shard", "no", "base", "offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
     size = F.least(F.lit(config.shard_slots).cast("long"), F.lit(total).cast("long") - F.col("shard") * config.shard_slots)
     turned = F.pmod(F.xxhash64("shard", F.lit(config.seed)), size)
     k = F.col("base") + F.col("i")
