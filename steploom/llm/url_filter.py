@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from steploom.session import materialize
+
 from .common import lower_ascii
 
 ALLOW, BLOCK = "allow", "block"
@@ -128,6 +130,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", keys:
     the patterns decide, and ``rule`` is NULL: allow if an allowing pattern fits or none does.
 
     Rules without a whole token in them are indexed under a token that every URL has.
+    Verdicts are stored before the pages are joined with them, so that the join reads two stored tables and a
+    URL that a third of the pages has can be split; rows with a NULL URL do not join at all.
+
     A NULL or broken URL has an empty host and path and is allowed unless a pattern
     fits its text.  Repeated rows are judged alike; no rows give no rows; other columns are left out.
     """
@@ -152,10 +157,14 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", keys:
         .when(~F.coalesce("spared", F.lit(True)), BLOCK)
         .otherwise(ALLOW)
     )
-    return page.join(judged, page["_url"] == judged["url"], "left").select(
+    stored = materialize(judged.select("url", F.col("best.rule").alias("_rule"), verdict.alias("_verdict")), "verdicts")
+    known, absent = page.where(F.col("_url").isNotNull()), page.where(F.col("_url").isNull())
+    joined = known.join(stored, known["_url"] == stored["url"], "left").select(
         *keys,
         host_of(F.col("_url")).alias("host"),
         path_of(F.col("_url")).alias("path"),
-        F.col("best.rule").alias("rule"),
-        verdict.alias("verdict"),
+        F.col("_rule").alias("rule"),
+        F.coalesce("_verdict", F.lit(ALLOW)).alias("verdict"),
     )
+    empty = [F.lit("").alias("host"), F.lit("").alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(ALLOW).alias("verdict")]
+    return joined.unionByName(absent.select(*keys, *empty))

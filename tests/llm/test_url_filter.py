@@ -63,3 +63,14 @@ def test_plan_has_no_cross_join_and_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     plan = judge_urls(pages, URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("CartesianProduct", "NestedLoop", "Python", "Arrow"))
+
+
+def test_a_hot_url_and_null_urls(spark):
+    """Pages of one URL are joined with stored verdicts, so that Spark can split them; NULL URLs do not join."""
+    urls = ["http://spam-farm.net/x"] * 400 + [None] * 400 + [f"http://a{i}.org/" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge_urls(pages, URL_RULES)
+    assert got.groupBy("verdict").count().orderBy("verdict").collect() == [("allow", 600), ("block", 400)]
+    assert got.where("host = '' AND path = '' AND rule IS NULL").count() == 400
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "isnotnull(url" in plan
