@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from steploom.session import materialize
+
 from .common import crc_of
 
 UNKNOWN = "und"
 _GROUP_DOCS = 64
-#: Parts of a language that are ranked apart first, so that the last ranking sees a bounded number of rows.
-_SALTS = 16
+#: Characters of a text that are turned into grams at once.
+_PIECE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -52,16 +54,21 @@ class Grams:
         self.size = 1 << slot_bits
         self.shift = np.uint64(64 - slot_bits)
 
-    def presence(self, texts: list[str]) -> np.ndarray:
+    def presence(self, texts: list[str], piece: int = _PIECE) -> np.ndarray:
+        """A row for each text.  Long texts go through in pieces; the last two signs of a piece go before the next one."""
         found = np.zeros((len(texts), self.size), dtype=bool)
         for row, text in zip(found, texts, strict=True):
-            s = self.table[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-            s = np.concatenate([[0], s, [0]]).astype(np.uint64)
-            s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-            first, second, third = (s * f for f in _FACTORS)
-            row[first[s != 0] >> self.shift] = True
-            row[(first[:-1] + second[1:] + _LENGTHS[1]) >> self.shift] = True
-            row[(first[:-2] + second[1:-1] + third[2:] + _LENGTHS[2]) >> self.shift] = True
+            lowered, carried = text.lower(), np.zeros(1, dtype=np.uint64)
+            for lo in range(0, max(1, len(lowered)), piece):
+                signs = self.table[np.frombuffer(lowered[lo : lo + piece].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+                end = np.zeros(int(lo + piece >= len(lowered)), dtype=np.uint64)
+                s = np.concatenate([carried, signs, end])
+                s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
+                first, second, third = (s * f for f in _FACTORS)
+                row[first[s != 0] >> self.shift] = True
+                row[(first[:-1] + second[1:] + _LENGTHS[1]) >> self.shift] = True
+                row[(first[:-2] + second[1:-1] + third[2:] + _LENGTHS[2]) >> self.shift] = True
+                carried = s[-2:]
         return found
 
 
@@ -82,7 +89,10 @@ class LangModel:
     def kernel(self, texts: list[str]) -> np.ndarray:
         """Normalised number of grams that each text shares with each landmark."""
         grams = self.__dict__.get("_grams") or self.__dict__.setdefault("_grams", Grams(self.config.slot_bits))
-        found = grams.presence(texts)
+        return self.kernel_of(grams.presence(texts))
+
+    def kernel_of(self, found: np.ndarray) -> np.ndarray:
+        """The kernel of texts whose grams are known."""
         shared = found[:, self.vocabulary].astype(np.float32) @ self.landmarks
         sizes = np.maximum(found.sum(1), 1)
         return shared / np.sqrt(sizes[:, None] * self.sizes[None, :])
@@ -103,9 +113,8 @@ class LangModel:
         return names, scores
 
 
-def landmark_model(texts: list[str], config: LangConfig) -> LangModel:
-    """A model that knows its landmarks and no language yet."""
-    found = Grams(config.slot_bits).presence(texts)
+def landmark_model(found: np.ndarray, config: LangConfig) -> LangModel:
+    """A model that knows its landmarks, by the presence of their grams, and no language yet."""
     vocabulary = np.flatnonzero(found.any(0))
     columns = found[:, vocabulary].T.astype(np.float32)
     return LangModel(config, [], vocabulary, columns, np.maximum(found.sum(1), 1), np.zeros((0, 0)))
@@ -137,31 +146,50 @@ def held_out(key, config: LangConfig):
 def train_languages(docs: DataFrame, config: LangConfig | None = None) -> LangModel:
     """Learn from a bounded sample of ``docs`` (``doc_id``, ``text``, ``lang``) that are not held out.
 
-    Only the landmarks' texts reach the driver; the rest of the sample sends its kernel rows.
+    No text reaches the driver: landmarks send a bit for each gram slot, the rest of the sample its kernel rows.
+    The documents to choose from and the sample are stored, so all texts are scanned twice.
 
     Of each language the same number of documents is taken, those with the smallest hashes of their
-    ids: ranked within parts of a language first, so that a frequent one is no hot spot.  Rows
-    with a NULL id, NULL language or NULL or empty text are not learned from.
+    ids (ties: the smaller id).  Hashes below a limit that follows from the language's number of documents are ranked,
+    several times as many as are taken, so a frequent language is no hot spot.  Rows
+    with a NULL id, NULL language or NULL or empty text are not learned from; of several texts of an id and
+    language the smallest is.  No rows give a model that answers ``UNKNOWN``.
     """
     config = config or LangConfig()
     usable = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id"), config)
     )
-    ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-    n_languages = max(1, usable.select("lang").distinct().count())
+    ids = materialize(usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct(), "usable")
+    # Stored, so that the planner knows how small the table is.
+    counts = materialize(ids.groupBy("lang").count(), "languages")
+    n_languages = max(1, counts.count())
     each = max(1, config.sample // n_languages)
     order = ["h", "doc_id"]
-    part = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(_SALTS))).orderBy(*order))
-    first = ids.withColumn("rank", part).where(F.col("rank") <= each).drop("rank")
+    # Hashes are even over all longs: the limit leaves 4 * each + 64 of a language's documents, give or take their root.
+    share = F.lit(4.0 * each + 64) / F.col("count")
+    low = ids.join(counts, "lang").where((share >= 1) | (F.col("h") < (share - 0.5) * F.lit(2.0**64)))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    chosen = first.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id", "lang", "rank")
-    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-    first = sample.where(F.col("rank") <= max(1, config.landmarks // n_languages)).collect()
-    order = lambda r: (r["rank"], r["lang"], r["doc_id"], r["x"])
-    texts = [r["text"] for r in sorted(first, key=lambda r: (r["rank"], r["lang"], r["doc_id"], r["text"]))]
-    if not texts:
-        return landmark_model([], config)
-    model = landmark_model(texts, config)
+    chosen = low.withColumn("rank", rank).where(F.col("rank") <= each).select("doc_id", "lang", "rank")
+    # At most config.sample rows are sent to all tasks.
+    picked = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    sample = materialize(picked.groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text")), "sample")
+
+    def bits(batches):
+        grams = Grams(config.slot_bits)
+        for batch in batches:
+            yield batch[["doc_id", "lang", "rank"]].assign(x=[np.packbits(grams.presence([t])[0]).tobytes() for t in batch["text"]])
+
+    wanted = sample.where(F.col("rank") <= max(1, config.landmarks // n_languages))
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, lang string, rank int, x binary"
+    order = lambda r: (r["rank"], r["lang"], r["doc_id"])
+    first = sorted(wanted.mapInPandas(bits, schema).collect(), key=order)
+    found = np.zeros((len(first), 1 << config.slot_bits), dtype=bool)
+    for row, r in zip(found, first, strict=True):
+        row[:] = np.unpackbits(np.frombuffer(r["x"], dtype=np.uint8), count=len(row))
+    model = landmark_model(found, config)
+    if not first:
+        return model
 
     def kernels(batches):
         for batch in batches:
@@ -169,13 +197,17 @@ def train_languages(docs: DataFrame, config: LangConfig | None = None) -> LangMo
             parts = [model.kernel(values[i : i + _GROUP_DOCS]) for i in range(0, len(values), _GROUP_DOCS)]
             yield batch[["doc_id", "lang", "rank"]].assign(x=[row.tobytes() for part in parts for row in part])
 
-    got = sorted(sample.mapInPandas(kernels, "doc_id long, lang string, rank int, x binary").collect(), key=order)
-    among = np.concatenate([model.kernel(texts[i : i + _GROUP_DOCS]) for i in range(0, len(texts), _GROUP_DOCS)])
-    return fit_languages(model, among, np.stack([np.frombuffer(r["x"]) for r in got]), [r["lang"] for r in got])
+    got = sorted(sample.mapInPandas(kernels, schema).collect(), key=order)
+    rows = np.stack([np.frombuffer(r["x"]) for r in got])
+    return fit_languages(model, model.kernel_of(found), rows, [r["lang"] for r in got])
 
 
 def identify(model: LangModel):
-    """A function of a text column: a struct of ``lang_pred`` and ``score``."""
+    """A function of a text column: a struct of ``lang_pred`` and ``score``.
+
+    NULL texts and those without a letter are ``UNKNOWN`` with score 0; equal values go to the smaller name.
+    Whole texts count, however long; repeated rows are judged alike.
+    """
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:

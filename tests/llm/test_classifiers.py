@@ -5,7 +5,7 @@ import pytest
 
 from steploom.llm import mil_quality
 from steploom.llm.common import read
-from steploom.llm.language import LangConfig, identify, train_languages
+from steploom.llm.language import Grams, LangConfig, fit_languages, identify, landmark_model, train_languages
 from steploom.llm.mil_quality import FEATURES, MilConfig, fit_mil, passage_features, quality_score, train_quality, within_bound
 from steploom.llm.queries import language_id, quality_classifier
 
@@ -152,3 +152,114 @@ def test_learning_ignores_row_order(spark):
     docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
     a, b = train_languages(docs, LANGUAGE), train_languages(docs.repartition(7), LANGUAGE)
     np.testing.assert_allclose(a.weights, b.weights)
+
+
+def real_grams(text):
+    """Grams of one to three signs as a set of strings: letters, and one gap for all between words."""
+    signs = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    while "  " in signs:
+        signs = signs.replace("  ", " ")
+    return {signs[i : i + n] for n in (1, 2, 3) for i in range(len(signs) - n + 1)} - {" "}
+
+
+def brute_languages(landmarks, sample, languages, texts, ridge):
+    """Kernel ridge regression over all grams of the sample, with sets and plain loops."""
+    names = sorted(set(languages))
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b)) if a and b else 0.0
+
+    marks = [real_grams(t) for t in landmarks]
+    known = set().union(*marks)
+    values, vectors = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    root = vectors @ np.diag([1 / np.sqrt(v) if v > 1e-6 else 0.0 for v in values]) @ vectors.T
+    rows = lambda some: np.array([[len(g & known & m) / np.sqrt(max(len(g), 1) * len(m)) for m in marks] for g in map(real_grams, some)]) @ root
+    x, scores = rows(sample), []
+    weight = np.array([len(languages) / len(names) / languages.count(k) for k in languages])
+    for name in names:
+        y = np.array([1.0 if k == name else -1.0 for k in languages])
+        left = sum(w * np.outer(r, r) for w, r in zip(weight, x)) + ridge * len(languages) / len(names) * np.eye(len(marks))
+        scores.append(rows(texts) @ np.linalg.solve(left, sum(w * r * t for w, r, t in zip(weight, x, y))))
+    return names, np.array(scores).T
+
+
+def test_languages_by_brute_force(spark):
+    docs = [r for r in read(spark, "/root/testdata/sf0.001", "documents").collect() if r.text and r.lang]
+    config = LangConfig(slot_bits=24)
+    texts, languages = [r.text[:150] for r in docs[:60]], [r.lang for r in docs[:60]]
+    grams = Grams(config.slot_bits)
+    model = landmark_model(grams.presence(texts[:20]), config)
+    fit_languages(model, model.kernel_of(grams.presence(texts[:20])), model.kernel(texts), languages)
+    asked = [r.text[200:300] for r in docs if len(r.text) > 300][:30] + ["x", "ÄÖ ü"]
+    names, want = brute_languages(texts[:20], texts, languages, asked, config.ridge)
+    got = model.kernel(asked) @ model.weights
+    assert model.languages == names
+    # Few grams share one of 2 ** 24 slots.
+    np.testing.assert_allclose(got, want, atol=1e-3)
+    assert (got.argmax(1) == want.argmax(1)).all()
+
+
+def test_pieces_do_not_change_grams():
+    grams = Grams(12)
+    texts = ["", "  ", "ab", "one, two  three -- four", "é" * 9 + "  ,  " + "x" * 9, "a  "]
+    want = grams.presence(texts)
+    for piece in (1, 2, 3, 5):
+        assert (grams.presence(texts, piece) == want).all()
+
+
+def test_repeated_rows_do_not_change_the_sample(spark):
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    again = docs.unionByName(docs).unionByName(docs.where("doc_id % 7 = 0"))
+    np.testing.assert_allclose(train_languages(docs, LANGUAGE).weights, train_languages(again, LANGUAGE).weights)
+
+
+def plain_score(w, bag):
+    """The score of one document, passage by passage."""
+    k = len(w["score"])
+    encoded = [[np.tanh(sum(p[i] * w["encode"][i, j] for i in range(len(p))) + w["encode_0"][j]) for j in range(k)] for p in bag]
+    power = []
+    for h in encoded:
+        total = 0.0
+        for m in range(len(w["attend"])):
+            signal = np.tanh(sum(h[j] * w["signal"][j, m] for j in range(k)))
+            gate = 1 / (1 + np.exp(-sum(h[j] * w["gate"][j, m] for j in range(k))))
+            total += signal * gate * w["attend"][m]
+        power.append(np.exp(total))
+    z = [sum(a * h[j] for a, h in zip(power, encoded)) / sum(power) for j in range(k)]
+    return 1 / (1 + np.exp(-(sum(z[j] * w["score"][j] for j in range(k)) + w["score_0"][0])))
+
+
+def test_quality_scores_by_brute_force(spark):
+    docs = [r.text for r in read(spark, "/root/testdata/sf0.001", "documents").limit(40).collect()] + [None, "", "x"]
+    x, counts = passage_features(docs, 48)
+    labels = np.arange(len(docs)) % 2
+    model = fit_mil(x, counts, labels.astype(float), MilConfig(epochs=20))
+    bags = np.split((x - model.centre) / model.spread, np.cumsum(counts)[:-1])
+    np.testing.assert_allclose(model.scores(docs), [plain_score(model.weights, bag) for bag in bags], rtol=1e-9)
+
+
+def test_first_step_follows_the_numeric_gradient():
+    """Adam's first step is the rate times the sign of the gradient of loss and decay, whatever its size."""
+    r = np.random.default_rng(2)
+    counts = r.integers(1, 4, 12)
+    labels = np.repeat([0.0, 1.0], 6)
+    x = r.normal(0, 1, (counts.sum(), len(FEATURES)))
+    config = MilConfig(epochs=0, hidden=3, attention=2)
+    start, moved = fit_mil(x, counts, labels, config), fit_mil(x, counts, labels, MilConfig(epochs=1, hidden=3, attention=2))
+    bags = np.split((x - start.centre) / start.spread, np.cumsum(counts)[:-1])
+
+    def loss():
+        p = np.array([plain_score(start.weights, bag) for bag in bags])
+        each = np.where(labels == 1, -np.log(p), -np.log(1 - p)) / 12
+        return each.sum() + config.decay / 2 * sum((v**2).sum() for v in start.weights.values())
+
+    for name, values in start.weights.items():
+        for at in list(np.ndindex(values.shape))[:6]:
+            kept, sides = values[at], []
+            for side in (1e-5, -1e-5):
+                values[at] = kept + side
+                sides.append(loss())
+            values[at] = kept
+            slope = (sides[0] - sides[1]) / 2e-5
+            if abs(slope) > 1e-5:
+                assert moved.weights[name][at] - kept == pytest.approx(-config.rate * np.sign(slope), rel=1e-2)
