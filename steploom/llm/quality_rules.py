@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from steploom.session import materialize
 
-from .common import SPACE_CHARS, let, spare_name, words
+from .common import let, spare_name, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
+NOT_SPACE = "[^\\x20\\x09-\\x0D]"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -31,19 +33,16 @@ class HostRules:
     weak_prior: float = 1000.0
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def _repeated_words(w: Column) -> Column:
     """Words in windows of three that occur at least twice in ``w``.
 
-    Windows are sorted, equal neighbours are repeats, and the places of repeats cover
-    three words each, less where they overlap.
+    Windows are sorted by a hash and then by their words, equal neighbours are repeats, and the places of repeats
+    cover three words each, less where they overlap.
     """
 
     def places(sorted_windows: Column) -> Column:
-        same = lambda j: sorted_windows[j]["g"] == sorted_windows[j - 1]["g"]
+        one = lambda j, k: sorted_windows[j][k] == sorted_windows[j - 1][k]
+        same = lambda j: one(j, "h") & one(j, "a") & one(j, "b") & one(j, "c")
         n = F.size(sorted_windows)
         repeated = F.filter(
             F.sequence(F.lit(0), n - 1), lambda j: F.when(j > 0, same(j)).otherwise(False) | F.when(j < n - 1, same(j + 1)).otherwise(False)
@@ -56,7 +55,9 @@ def _repeated_words(w: Column) -> Column:
 
     windows = F.transform(
         F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("g"), i.alias("at")),
+        lambda i: F.struct(
+            F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"), i.alias("at")
+        ),
     )
     return F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(
         let(F.sort_array(windows), lambda s: let(places(s), covered))
@@ -66,13 +67,13 @@ def _repeated_words(w: Column) -> Column:
 def text_counts(text: Column) -> Column:
     """Struct of ``COUNTS`` for a text; all 0 for NULL."""
     full = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(full, "\n"), lambda line: F.length(_without(line, SPACE_CHARS)) > 0)
+    lines = F.filter(F.split(full, "\n"), lambda line: line.rlike(NOT_SPACE))
     return let(
         words(full),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
-            F.length(_without(full, SPACE_CHARS)).cast("long").alias("word_chars"),
-            (F.length(full) - F.length(_without(full, SYMBOLS))).cast("long").alias("n_symbols"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda total, word: total + F.length(word)).alias("word_chars"),
+            (F.length(full) - F.length(F.regexp_replace(full, SYMBOL, ""))).cast("long").alias("n_symbols"),
             let(lines, lambda own: F.size(own) - F.size(F.array_distinct(own))).cast("long").alias("n_dup_lines"),
             _repeated_words(w).alias("n_repeat_words"),
             F.size(lines).cast("long").alias("n_lines"),
@@ -136,12 +137,12 @@ def _prior(n: int, hosts: int, failed: int, squares: float, rules: HostRules) ->
 
 
 def judge_documents(
-    docs: DataFrame, rules: HostRules | None = None, text: str = "text", host: str = "source"
+    docs: DataFrame, rules: HostRules | None = None, text: str = "text", host: str = "source", columns: Sequence[str] | None = None
 ) -> tuple[DataFrame, str]:
-    """All rows and columns of ``docs`` and one more: a struct of ``COUNTS``, ``base_failed``, ``host_refused``, ``kept``.
+    """All rows of ``docs`` with ``columns`` (by default all) and one more: a struct of ``COUNTS``, ``base_failed``, ``host_refused``, ``kept``.
 
     Returns the rows and the name of that column (``_judged``, or another if it is taken).
-    Counts are written once and read twice: for the hosts' failure rates and for the
+    Counts are written once, with the host and ``columns``, and read twice: for the hosts' failure rates and for the
     documents.  Host sums are combined before they are shuffled, and the verdict table
     has a row per host, so a host with a third of all documents is no hot spot.
 
@@ -150,7 +151,9 @@ def judge_documents(
     """
     rules = rules or HostRules()
     name = spare_name(docs, "_judged")
-    stored = materialize(docs.withColumn(name, text_counts(F.col(text))), "counted")
+    columns = list(docs.columns if columns is None else columns)
+    own = [F.col(f"`{c}`") for c in columns + [host] * (host not in columns)]
+    stored = materialize(docs.select(*own, text_counts(F.col(text)).alias(name)), "counted")
     failed = failures(F.col(name), rules)
     counted = stored.select(F.col(host).alias("host"), F.struct(*[c.alias(r) for r, c in failed.items()]).alias("failed"))
     # Stored, so that the planner knows how large the table is: where it is small, the texts are not shuffled.
@@ -167,4 +170,4 @@ def judge_documents(
         bad_host.alias("host_refused"),
         (~base & ~bad_host).alias("kept"),
     )
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], judged.alias(name)), name
+    return joined.select(*[F.col(f"`{c}`") for c in columns], judged.alias(name)), name

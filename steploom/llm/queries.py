@@ -51,12 +51,13 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    judged, name = judge_documents(docs)
+    """Counts and verdicts of all documents; see ``judge_documents`` for NULLs, repeats and empty tables."""
+    judged, name = judge_documents(read(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select("doc_id", f"{name}.*")
 
 
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; see ``train_languages`` and ``identify`` for NULLs, ties and long texts."""
     docs, config = read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), LangConfig()
     predict = identify(train_languages(docs, config))
     found = docs.select("doc_id", lang_held_out(F.col("doc_id"), config).alias("held_out"), predict("text").alias("p"))

@@ -69,3 +69,11 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     got, name = judge_documents(docs)
     assert got.collect() == [] and got.schema[name].dataType.names == [*COUNTS, "base_failed", "host_refused", "kept"]
+
+
+def test_only_the_columns_asked_for_are_stored(spark):
+    docs = spark.createDataFrame([(1, "a b", "h", 7), (2, None, None, 8)], "doc_id long, text string, source string, extra int")
+    got, name = judge_documents(docs, columns=["doc_id"])
+    assert got.columns == ["doc_id", name] and got.count() == 2
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and "extra" not in plan
