@@ -159,7 +159,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", keys:
     )
     stored = materialize(judged.select("url", F.col("best.rule").alias("_rule"), verdict.alias("_verdict")), "verdicts")
     known, absent = page.where(F.col("_url").isNotNull()), page.where(F.col("_url").isNull())
-    joined = known.join(stored, known["_url"] == stored["url"], "left").select(
+    # A sort-merge join at every size: a broadcast would grow with the URLs.
+    joined = known.join(stored.hint("merge"), known["_url"] == stored["url"], "left").select(
         *keys,
         host_of(F.col("_url")).alias("host"),
         path_of(F.col("_url")).alias("path"),
