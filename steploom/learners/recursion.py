@@ -41,7 +41,7 @@ def advance_paths(batch: pd.DataFrame, horizon: int, config: SeriesModel, predic
         now = reach + i
         calendar = _calendar(origin + step * (i + 1), config) if config.calendar else {}
         x = np.column_stack(
-            [calendar[c] for c in config.calendar_cols]
+            [calendar[c] for c in config.columns["calendar"]]
             + [seen[:, now - k] for k in config.lags]
             + [seen[:, now - w : now].mean(axis=1) for w in config.roll_windows]
         )

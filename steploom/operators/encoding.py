@@ -25,7 +25,7 @@ def fold_of(period: Column | str) -> Column:
 
 def _slot(config: SeriesModel) -> str:
     name = SLOTS[config.resolution][0]
-    if name not in config.calendar_cols:
+    if name not in config.columns["calendar"]:
         raise ValueError("the code of a series needs the calendar columns")
     return name
 

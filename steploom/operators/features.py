@@ -78,15 +78,15 @@ def rolling_mean(df: DataFrame, widths: Sequence[int], keys: Sequence[str] = KEY
 def features_of(filled: DataFrame, config: SeriesModel, keys: Sequence[str] = KEYS) -> DataFrame:
     """Complete feature rows of a filled grid; the target column is ``y``."""
     wide = lookback_features(filled, config.lags, config.roll_windows, keys, config.resolution)
-    complete = wide.dropna(subset=["value", *config.lag_cols, *config.roll_cols])
+    complete = wide.dropna(subset=["value", *config.columns["lag"], *config.columns["roll"]])
     calendar = calendar_columns("period", config.resolution)
     return complete.select(
         *keys,
         "period",
         F.col("value").alias("y"),
-        *[calendar[c].alias(c) for c in config.calendar_cols],
-        *config.lag_cols,
-        *config.roll_cols,
+        *[calendar[c].alias(c) for c in config.columns["calendar"]],
+        *config.columns["lag"],
+        *config.columns["roll"],
     )
 
 

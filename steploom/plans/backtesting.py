@@ -59,7 +59,7 @@ def split_forecast(
     profile = split.where(~F.col("is_test")).groupBy(*keys).agg(
         F.avg("y").alias("level"), F.when(spread > 0, spread).otherwise(1.0).alias("spread")
     )
-    values = ["y", *config.lag_cols, *config.roll_cols]
+    values = ["y", *config.columns["lag"], *config.columns["roll"]]
     scaled = split.join(profile, keys).withColumns({c: (F.col(c) - F.col("level")) / F.col("spread") for c in values})
     scaled = scaled.select(*split.columns)
     train, test = scaled.where(~F.col("is_test")), scaled.where("is_test")
