@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -110,16 +111,30 @@ def shared_parts(p: np.ndarray, rest: np.ndarray, cell: int) -> Iterator[tuple[i
                     yield lo + a, low + first + b, int(sums[b])
 
 
+def _last_term(batch: pa.RecordBatch) -> tuple[tuple[str, str], int]:
+    """Language and term of the last row of a sorted batch, and the first of its rows that has them."""
+    lang, term = (batch.column(batch.schema.get_field_index(c)) for c in ("lang", "term"))
+    last = (lang[-1], term[-1])
+    other = pc.or_(pc.not_equal(lang, last[0]), pc.not_equal(term, last[1])).to_numpy(zero_copy_only=False)
+    return (last[0].as_py(), last[1].as_py()), int(np.flatnonzero(other).max(initial=-1)) + 1
+
+
 def _compared(config: DivergenceConfig):
-    """Rows arrive sorted by language and term; each run of terms gives a row for each pair of its sources."""
+    """Rows arrive sorted by language and term; each run of whole terms gives a row for each pair of its sources."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= 16 * config.cell_terms:
-                yield from done(held)
-                held = []
+            if not batch.num_rows:
+                continue
+            # The rows of a term may go on in the next batch, so the last term waits for it.
+            before, (last, at) = last, _last_term(batch)
+            if (at or last != before) and sum(b.num_rows for b in held) + at >= 16 * config.cell_terms:
+                yield from done([*held, batch.slice(0, at)])
+                held = [batch.slice(at)]
+            else:
+                held.append(batch)
         if held:
             yield from done(held)
 

@@ -65,6 +65,19 @@ def test_matches_brute_force(spark, config):
     assert sorted(tuple(r) for r in got) == brute(docs, config.min_docs, config.top)
 
 
+@pytest.mark.parametrize("rows", ["1", "7"])
+def test_terms_whose_sources_lie_in_several_batches(spark, rows):
+    docs = corpus(random.Random(9))
+    df = spark.createDataFrame([(i, *d, 1, "clash") for i, d in enumerate(docs)], SCHEMA)
+    known = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = source_divergence(df, DivergenceConfig(min_docs=2, cell_terms=1)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", known)
+    assert sorted(tuple(r) for r in got) == brute(docs, 2)
+
+
 def test_ties_empty_tables_and_languages_without_terms(spark):
     assert source_divergence(spark.createDataFrame([], SCHEMA)).collect() == []
     docs = [("a b", "en", s) for s in "zyx"] + [(None, "en", "n")]
