@@ -15,17 +15,25 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 def contracted(edges: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
     """One round over distinct ``edges`` (``a < b``): where each node goes (``node``, ``next``), and what edges are left.
 
-    A node goes to the node with the smallest hash among itself and its neighbours; the hash
-    is another one every round, so chains shrink as fast as stars whatever their ids are.
+    A node steps to the node with the most edges among itself and its neighbours, and from there
+    once more; of equals the smallest hash is taken, which is another one every round.  So a star is settled in
+    one round whatever its ids are, and chains shrink by halves and more.
     Edges get the new ends; those whose ends agree are settled and go, as do repeats.
-    Minima are combined before they are shuffled, and stored before they are joined, so the joins are
+    Counts and minima are combined before they are shuffled, and stored before they are joined, so the joins are
     plain ones that Spark can split at a node with very many edges.
     """
-    place = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("h"), c.alias("id"))
-    a, b = F.col("a"), F.col("b")
-    ends = edges.select(a.alias("node"), place(b).alias("near")).unionByName(edges.select(b.alias("node"), place(a).alias("near")))
-    nearest = ends.groupBy("node").agg(F.min("near").alias("near"))
-    moves = materialize(nearest.select("node", F.least("near", place(F.col("node")))["id"].alias("next")), "moves")
+    hashed = F.shiftrightunsigned(F.xxhash64("node", F.lit(round_)), 32)
+    counts = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    # One number, so that minima need no sort; it only chooses among neighbours, any of which is right.
+    ranks = materialize(counts.select("node", (hashed - F.least("n", F.lit(1 << 30)) * F.lit(1 << 32)).alias("place")), "ranks")
+    at = lambda end: ranks.select(F.col("node").alias(end), F.col("place").alias(f"{end}_place"))
+    to_near = [
+        F.struct(F.col(x).alias("node"), F.col(y).alias("near"), F.col(f"{y}_place").alias("place")) for x in ("a", "b") for y in ("a", "b")
+    ]
+    ends = edges.join(at("a"), "a").join(at("b"), "b").select(F.inline(F.array(*to_near)))
+    steps = materialize(ends.groupBy("node").agg(F.min_by("near", "place").alias("next")), "steps")
+    again = steps.select(F.col("node").alias("next"), F.col("next").alias("far"))
+    moves = materialize(steps.join(again, "next").select("node", F.col("far").alias("next")), "moves")
     to = lambda end: moves.select(F.col("node").alias(end), F.col("next").alias(f"{end}_next"))
     moved = edges.join(to("a"), "a").join(to("b"), "b").where("a_next <> b_next")
     left = moved.select(*_ordered(F.col("a_next"), F.col("b_next"))).distinct()

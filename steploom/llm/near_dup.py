@@ -252,7 +252,9 @@ def _confirmed_links(own: DataFrame, reps: DataFrame, config: NearDupConfig) ->
     weights = reps.groupBy("doc_id").agg(F.max("n_bytes").alias("n_bytes"))
     totals = sized.join(weights, "doc_id").groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / config.block_docs), F.ceil(F.col("bytes") / config.block_bytes), F.lit(1))
-    placed = materialize(sized.join(totals.select("grp", blocks.alias("blocks")), "grp"), "groups")
+    # Stored, so that the join below is a plain one whose hot groups Spark can split.
+    totals = materialize(totals.select("grp", blocks.alias("blocks")), "group-sizes")
+    placed = materialize(sized.join(totals, "grp"), "groups")
     met = own.join(placed, "doc_id").groupBy("doc_id", "grp", "blocks").agg(F.min("text").alias("text"))
     compared = materialize(met, "candidates")
 
@@ -280,12 +282,12 @@ def _stars(met: DataFrame) -> DataFrame:
     """Edges that join each document with the firsts of its buckets.
 
     A document names its smallest first only, and that one the others: in a hot group these are the
-    same few pairs for all members, so they fall together before anything is joined.
+    same few pairs for all members, so they fall together before anything is joined.  Edges may repeat.
     """
     firsts = met.groupBy("doc_id").agg(F.array_sort(F.collect_set("first")).alias("firsts"))
     hub = F.col("firsts")[0]
-    others = firsts.select(hub.alias("a"), F.explode(F.slice("firsts", 2, F.size("firsts"))).alias("b"))
-    return firsts.select(hub.alias("a"), F.col("doc_id").alias("b")).unionByName(others).where("a <> b").distinct()
+    ends = F.concat(F.array("doc_id"), F.slice("firsts", 2, F.size("firsts")))
+    return firsts.select(hub.alias("a"), F.explode(ends).alias("b")).where("a <> b")
 
 
 def _labelled(docs: DataFrame, links: DataFrame) -> DataFrame:

@@ -132,6 +132,16 @@ def test_edges_of_a_hot_group_shrink_every_round(spark):
     assert all(b < a for a, b in zip(sizes, sizes[1:], strict=False)) and len(sizes) < 12, sizes
 
 
+def test_stars_and_what_joins_them_take_few_rounds(spark):
+    r = random.Random(7)
+    hubs = list(range(10_000, 10_020))
+    edges = {(i, r.choice(hubs)) for i in range(3000)} | {(hubs[0], h) for h in hubs[1:]} | {(20_000 + 3 * i, 20_001 + 3 * i) for i in range(300)}
+    left, rounds = spark.createDataFrame(sorted(edges), "a long, b long"), 0
+    while left.count():
+        left, rounds = contracted(left, rounds)[1], rounds + 1
+    assert rounds <= 2
+
+
 def test_members_of_a_hot_group_name_one_first(spark):
     rows = spark.createDataFrame([(d, f) for d in range(10, 200) for f in (1, 3, d % 3 + 5)], "doc_id long, first long")
     edges = {tuple(e) for e in _stars(rows).collect()}
